@@ -69,10 +69,10 @@ def read_tranches(spark: SparkSession, path: str) -> DataFrame:
 def drop_description_rows(df: DataFrame, fields: Sequence[str]) -> DataFrame:
     """Drop rows that describe the fields: more than five long or keyword cells."""
     words = "|".join(DESCRIPTION_WORDS)
-    one = lambda pred: F.when(pred, 1).otherwise(0)
-    keyword = sum((one(F.col(f).rlike(words)) for f in fields), F.lit(0))
-    long = sum((one(F.length(f) > DESCRIPTION_LENGTH) for f in fields), F.lit(0))
-    return df.filter(~((keyword > DESCRIPTION_MARKS) | (long > DESCRIPTION_MARKS)))
+    cells = F.array(*[F.col(f) for f in fields])
+    keyword = F.size(F.filter(cells, lambda x: x.rlike(words)))
+    long = F.size(F.filter(cells, lambda x: F.length(x) > DESCRIPTION_LENGTH))
+    return df.filter((keyword <= DESCRIPTION_MARKS) & (long <= DESCRIPTION_MARKS))
 
 
 def stage_tape(raw: DataFrame, deal_id: str | None = None) -> DataFrame:
