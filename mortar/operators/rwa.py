@@ -6,6 +6,7 @@ weight) and the export one (none of these; amounts use the unrounded weight).
 
 from __future__ import annotations
 
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -49,7 +50,10 @@ def _anchors(df: DataFrame, variant: str) -> DataFrame:
 
 
 def rwa_tranche(notes: DataFrame) -> DataFrame:
-    """Library variant: adds ``Thickness``, ``RiskWeight``, ``RWA`` and ``Capital`` to each tranche."""
+    """Library variant: adds ``Thickness``, ``RiskWeight``, ``RWA`` and ``Capital`` to each tranche.
+
+    The weight has four digits, so amounts stay exact decimals.
+    """
     df = _anchors(notes.withColumn("_rating", normalise_rating(F.col("Rating"))), "library")
     thick = F.col("Thickness")
     weight = interpolate(F.col("rw1"), F.col("rw5"), F.col("WAL"))
@@ -60,8 +64,8 @@ def rwa_tranche(notes: DataFrame) -> DataFrame:
     return (
         df.withColumn("Thickness", thickness())
         .withColumn("RiskWeight", F.when(rated, half_even(weight, 4)).otherwise(F.lit(UNRATED_WEIGHT)))
-        .withColumn("RWA", F.col("CurrentBalance").cast("double") * F.col("RiskWeight"))
-        .withColumn("Capital", F.col("RWA") * CAPITAL_RATIO)
+        .withColumn("RWA", F.col("CurrentBalance") * F.col("RiskWeight").cast("decimal(9,4)"))
+        .withColumn("Capital", F.col("RWA") * F.lit(Decimal(str(CAPITAL_RATIO))))
         .drop("rw1", "rw5")
     )
 
@@ -205,9 +209,8 @@ def structure_from_pool(pool: DataFrame) -> DataFrame:
     """
     fields = ["TrancheID", "Rating", "Share", "Attachment", "Detachment", "WAL", "Seniority"]
     texts = ("TrancheID", "Rating", "Seniority")
-    row = lambda values: F.struct(
-        *[F.lit(v).cast("string" if f in texts else "double").alias(f) for f, v in zip(fields, values)]
-    )
+    kind = lambda f: "string" if f in texts else "decimal(3,2)" if f == "Share" else "double"
+    row = lambda values: F.struct(*[F.lit(v).cast(kind(f)).alias(f) for f, v in zip(fields, values)])
     template = F.array(*[row(values) for values in STRUCTURE_TEMPLATE])
     return (
         pool.select(*DEAL, F.col("TotalBalance").alias("PoolBalance"), F.explode(template).alias("t"))
@@ -215,7 +218,7 @@ def structure_from_pool(pool: DataFrame) -> DataFrame:
             *DEAL, "PoolBalance",
             F.concat_ws(" ", "DealID", "t.TrancheID").alias("NoteID"),
             *[F.col(f"t.{f}").alias(f) for f in fields if f != "Share"],
-            (F.col("PoolBalance").cast("double") * F.col("t.Share")).alias("CurrentBalance"),
+            (F.col("PoolBalance").cast("decimal(18,2)") * F.col("t.Share")).alias("CurrentBalance"),
         )
     )
 

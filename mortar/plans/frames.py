@@ -50,13 +50,13 @@ class Frames:
 def present(df: DataFrame, **digits: int) -> DataFrame:
     """Results in plain types: decimals as doubles, doubles rounded half-even, counts as bigint.
 
-    Doubles get six digits unless ``digits`` says otherwise (money summed as double needs fewer).
+    Doubles get six digits and decimals keep theirs unless ``digits`` says otherwise.
     """
     out = []
     for field in df.schema.fields:
         c = F.col(f"`{field.name}`")
         if isinstance(field.dataType, T.DecimalType):
-            c = c.cast("double")
+            c = (F.bround(c, digits[field.name]) if field.name in digits else c).cast("double")
         elif isinstance(field.dataType, (T.DoubleType, T.FloatType)):
             c = F.bround(c, digits.get(field.name, 6))
         elif isinstance(field.dataType, (T.IntegerType, T.ShortType, T.ByteType)):

@@ -35,25 +35,25 @@ register(
     query(POOL_SUMMARY, TAPE, STAR),
 )
 
-LTV_SQL = f"""SELECT {G},
+LTV_SQL = f"""SELECT {G}, LTV_Band, Band_Order, {COUNT}, {WA}, {IN_ARREARS}, {ARREARS} FROM (SELECT *,
  CASE WHEN CurrentLTV >= 1 THEN '>100%' WHEN CurrentLTV >= 0.9 THEN '90-100%' WHEN CurrentLTV >= 0.8 THEN '80-90%'
   WHEN CurrentLTV >= 0.7 THEN '70-80%' WHEN CurrentLTV >= 0.6 THEN '60-70%' WHEN CurrentLTV IS NULL THEN 'Unknown' ELSE '<60%' END AS LTV_Band,
  {n('''CASE WHEN CurrentLTV >= 1 THEN 6 WHEN CurrentLTV >= 0.9 THEN 5 WHEN CurrentLTV >= 0.8 THEN 4
-  WHEN CurrentLTV >= 0.7 THEN 3 WHEN CurrentLTV >= 0.6 THEN 2 WHEN CurrentLTV IS NULL THEN 99 ELSE 1 END''')} AS Band_Order,
- {COUNT}, {WA}, {IN_ARREARS}, {ARREARS} FROM fact GROUP BY ALL"""
+  WHEN CurrentLTV >= 0.7 THEN 3 WHEN CurrentLTV >= 0.6 THEN 2 WHEN CurrentLTV IS NULL THEN 99 ELSE 1 END''')} AS Band_Order
+ FROM fact) GROUP BY {G}, LTV_Band, Band_Order"""
 register("strat_ltv", lambda x: present(marts.strat_ltv(x.fact())), query(LTV_SQL, TAPE, REFS, FACT))
 
 
 def _delinquency_sql(label: str) -> str:
     return query(
-        f"""SELECT {G},
+        f"""SELECT {G}, Delinquency_Bucket, Bucket_Order, {COUNT}, {ARREARS}, {r(wavg('CurrentLTV'))} AS WA_LTV FROM (SELECT *,
  CASE WHEN AccountStatus = '{label}' THEN 'Default' WHEN AccountStatus = 'Redeemed' THEN 'Redeemed'
   WHEN COALESCE(MonthsInArrears, 0) = 0 THEN 'Current' WHEN MonthsInArrears >= 3 THEN '3M+'
   WHEN MonthsInArrears >= 2 THEN '2-3M' WHEN MonthsInArrears >= 1 THEN '1-2M' ELSE '<1M' END AS Delinquency_Bucket,
  {n(f'''CASE WHEN AccountStatus = 'Redeemed' THEN 0 WHEN COALESCE(MonthsInArrears, 0) = 0 THEN 1
   WHEN MonthsInArrears >= 3 THEN CASE WHEN AccountStatus = '{label}' THEN 6 ELSE 5 END
-  WHEN MonthsInArrears >= 2 THEN 4 WHEN MonthsInArrears >= 1 THEN 3 ELSE 2 END''')} AS Bucket_Order,
- {COUNT}, {ARREARS}, {r(wavg('CurrentLTV'))} AS WA_LTV FROM fact GROUP BY ALL""",
+  WHEN MonthsInArrears >= 2 THEN 4 WHEN MonthsInArrears >= 1 THEN 3 ELSE 2 END''')} AS Bucket_Order
+ FROM fact) GROUP BY {G}, Delinquency_Bucket, Bucket_Order""",
         TAPE, REFS, FACT,
     )
 
@@ -80,11 +80,11 @@ register(
     "strat_seasoning",
     lambda x: present(marts.strat_seasoning(x.star("LoanOriginationDate"))),
     query(
-        f"""SELECT {G}, {SEASONING} AS Seasoning_Band,
+        f"""SELECT {G}, Seasoning_Band, Band_Order, {COUNT}, {r('avg(Seasoning)')} AS Avg_Seasoning_Months, {IN_ARREARS},
+ {r(ratio('SUM(ArrearsBalance)', 'SUM(CurrentBalance)'))} AS ArrearsRate FROM (SELECT *, {SEASONING} AS Seasoning_Band,
  {n('''CASE WHEN Seasoning >= 120 THEN 5 WHEN Seasoning >= 60 THEN 4 WHEN Seasoning >= 36 THEN 3
-  WHEN Seasoning >= 12 THEN 2 WHEN Seasoning IS NULL THEN 99 ELSE 1 END''')} AS Band_Order,
- {COUNT}, {r('avg(Seasoning)')} AS Avg_Seasoning_Months, {IN_ARREARS},
- {r(ratio('SUM(ArrearsBalance)', 'SUM(CurrentBalance)'))} AS ArrearsRate FROM star GROUP BY ALL""",
+  WHEN Seasoning >= 12 THEN 2 WHEN Seasoning IS NULL THEN 99 ELSE 1 END''')} AS Band_Order
+ FROM star) GROUP BY {G}, Seasoning_Band, Band_Order""",
         TAPE, STAR,
     ),
 )

@@ -14,6 +14,21 @@ def r(x: str, digits: int = 6) -> str:
     return f"round_even({x}, {digits})"
 
 
+def he(x: str, digits: int) -> str:
+    """Half-even rounding of a double by its decimal digits (the engine's own works on the binary product)."""
+    return hd(f"CAST(CAST(CAST({x} AS DOUBLE) AS VARCHAR) AS DECIMAL(38,18))", digits)
+
+
+def hd(x: str, digits: int) -> str:
+    """Half-even rounding of an exact decimal."""
+    scaled = f"abs({x}) * {10**digits}"
+    up = "CASE WHEN v - floor(v) > 0.5 OR (v - floor(v) = 0.5 AND floor(v) % 2 = 1) THEN 1 ELSE 0 END"
+    return (
+        f"CAST(CAST(sign({x}) * list_transform([{scaled}], lambda v: floor(v) + {up})[1] AS DECIMAL(38,0))"
+        f" AS DOUBLE) / {10**digits}"
+    )
+
+
 def n(x: str) -> str:
     return f"CAST({x} AS BIGINT)"
 
