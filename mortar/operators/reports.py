@@ -56,7 +56,7 @@ def select_reports(pages: DataFrame, config: DataFrame) -> DataFrame:
     rating = name.contains("DBRS") | F.lower(name).contains("rating")
     return (
         pages.join(F.broadcast(config.select("deal_id", "ir_pattern")), "deal_id")
-        .filter(name.rlike(F.col("ir_pattern")) & ~rating)
+        .filter(F.rlike(name, F.col("ir_pattern")) & ~rating)
         .drop("ir_pattern")
     )
 

@@ -421,7 +421,7 @@ def report_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
             "o_orderkey AS k",
             "CAST(ROUND(o_totalprice * 100) AS BIGINT) AS cents",
-            "last_day(CAST(o_orderdate AS DATE)) AS cutoff",
+            "last_day(add_months(CAST(o_orderdate AS DATE), 6)) AS cutoff",
         ),
         "k",
     )
@@ -439,7 +439,7 @@ def report_pages_sql() -> str:
     cols = ", ".join(f"{rule} AS {name}" for name, rule in _page_text("duckdb").items())
     return (
         "rp0 AS (SELECT o_orderkey AS k, CAST(ROUND(o_totalprice * 100) AS BIGINT) AS cents,"
-        " last_day(CAST(o_orderdate AS DATE)) AS cutoff FROM orders),\n"
+        " last_day(CAST(CAST(o_orderdate AS DATE) + to_months(6) AS DATE)) AS cutoff FROM orders),\n"
         f"rp1 AS (SELECT CASE WHEN k % 2 = 0 THEN 'AVON2' ELSE 'BLETCHLEY' END AS deal_id, {cols},"
         " unnest([1, 2, 3, 4]) AS page_no FROM rp0),\n"
         f"report_pages AS (SELECT deal_id, file_name, page_no, {_PAGE_NO} AS text FROM rp1)"
