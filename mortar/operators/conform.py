@@ -10,10 +10,11 @@ from decimal import Decimal
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from mortar.functions.casts import decode as decode_label
 from mortar.functions.casts import iso_date, money, ratio, whole
 from mortar.functions.dates import quarter_end
 from mortar.operators.grouping import pick_one
-from mortar.sources.seeds import ref_table
+from mortar.sources.seeds import REF_TABLES, ref_table
 
 
 @dataclass(frozen=True)
@@ -97,21 +98,26 @@ def _typed(field: str, kind: str, fmt: DealFormat) -> Column:
     return {"text": lambda x: x, "whole": whole, "money": money, "ratio": ratio, "date": iso_date}[kind](c)
 
 
-def decode(df: DataFrame, decoded: list[tuple[str, str, str]]) -> DataFrame:
-    """Add the label next to each ``<name>_code`` column (lists are fixed and small, so broadcast)."""
-    for name, _, ref in decoded:
-        labels = ref_table(df.sparkSession, ref).select(
-            F.col("code").alias(f"{name}_code"), F.col("label").alias(name)
-        )
-        df = df.join(F.broadcast(labels), f"{name}_code", "left")
-    return df
+def decode_join(df: DataFrame, code: str, labels: DataFrame, label: str) -> DataFrame:
+    """Add the label of a code column by left join to a ``(code, label)`` list.
+
+    For lists held in tables.  Spark broadcasts the list when its size allows and shuffles otherwise.
+    """
+    lookup = labels.select(F.col("code").alias("_code"), F.col("label").alias(label))
+    return df.join(lookup, F.col(code) == F.col("_code"), "left").drop("_code")
 
 
 def _conform(tape: DataFrame, fmt: DealFormat, plain: dict, decoded: list) -> DataFrame:
+    """Project the tape to canonical columns.
+
+    The code lists are fixed and short, so labels come from literal maps: unlike joins they vanish
+    from every plan that does not look at the label.
+    """
     columns = [_typed(field, kind, fmt).alias(name) for name, (field, kind) in plain.items()]
-    codes = [_typed(field, "text", fmt).alias(f"{name}_code") for name, field, _ in decoded]
-    names = ["DealID", *plain, *[x for name, _, _ in decoded for x in (name, f"{name}_code")]]
-    return decode(tape.select("DealID", *columns, *codes), decoded).select(*names)
+    for name, field, ref in decoded:
+        code = _typed(field, "text", fmt)
+        columns += [decode_label(code, REF_TABLES[ref]).alias(name), code.alias(f"{name}_code")]
+    return tape.select("DealID", *columns)
 
 
 def deal_rows(tape: DataFrame, fmt: DealFormat) -> DataFrame:

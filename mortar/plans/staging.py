@@ -222,11 +222,18 @@ def _typed_sql(field: str, kind: str, fmt) -> str:
 
 register("safe_casts", lambda x: cf.cast_failures(x.tape()), query(_cast_sql(), TAPE))
 
+def _decoded(x: Frames):
+    """Codes counted first, then decoded by join: the join sees one row per combination."""
+    codes = x.tape().select("DealID", *[F.col(f).alias(f"{c}_code") for c, f, _ in cf.FACT_DECODED])
+    rows = codes.groupBy(*codes.columns).agg(F.count("*").alias("n"))
+    for name, _, ref in cf.FACT_DECODED:
+        rows = cf.decode_join(rows, f"{name}_code", seeds.ref_table(x.spark, ref), name)
+    return rows.groupBy("DealID", *[c for c, _, _ in cf.FACT_DECODED]).agg(F.sum("n").alias("Rows"))
+
+
 register(
     "decode_codes",
-    lambda x: cf.decode(
-        x.tape().select("DealID", *[F.col(f).alias(f"{c}_code") for c, f, _ in cf.FACT_DECODED]), cf.FACT_DECODED
-    ).groupBy("DealID", *[c for c, _, _ in cf.FACT_DECODED]).agg(F.count("*").alias("Rows")),
+    _decoded,
     query(
         "SELECT t.DealID, " + ", ".join(f"r{i}.label AS {c}" for i, (c, _, _) in enumerate(cf.FACT_DECODED))
         + ", count(*) AS Rows FROM tape t "
