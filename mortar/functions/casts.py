@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from itertools import chain
-
 from pyspark.sql import Column, functions as F
 
 # fixed values: spellings of "no value" on a tape
@@ -28,29 +26,35 @@ def whole(c: Column) -> Column:
 
 
 def iso_date(c: Column) -> Column:
-    return F.try_to_date(c, "yyyy-MM-dd")
+    """``yyyy-MM-dd`` with leading zeros and nothing else."""
+    shaped = (F.length(c) == 10) & (F.substring(c, 5, 1) == "-") & (F.substring(c, 8, 1) == "-")
+    return F.when(shaped, c.try_cast("date"))
 
 
 def number(c: Column) -> Column:
     """Any numeric text as double; NaN counts as no value."""
-    d = c.try_cast("double")
-    return F.when(F.isnan(d), None).otherwise(d)
+    return F.nanvl(c.try_cast("double"), F.lit(None).cast("double"))
+
+
+def _quoted(text: str) -> str:
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def decode(c: Column, labels: dict[str, str]) -> Column:
     """Label of a code from a short fixed list, NULL for an unknown code."""
-    pairs = F.create_map(*[F.lit(x) for x in chain.from_iterable(labels.items())])
-    return F.try_element_at(pairs, c)
+    pairs = ", ".join(f"{_quoted(code)}, {_quoted(label)}" for code, label in labels.items())
+    return F.try_element_at(F.expr(f"map({pairs})"), c)
 
 
 def decode_number(c: Column, labels: dict[str, str]) -> Column:
     """As :func:`decode`, for codes delivered as any spelling of a whole number (``3``, ``3.0``)."""
-    d = number(c)
-    return decode(F.when(d == F.floor(d), F.floor(d).try_cast("int").cast("string")), labels)
+    pairs = ", ".join(f"{code}D, {_quoted(label)}" for code, label in labels.items())
+    return F.try_element_at(F.expr(f"map({pairs})"), number(c))
 
 
 def parse_number(c: Column) -> Column:
-    """A figure in report text: thousands commas, ``%``, the pound sign and ``GBP`` are noise."""
-    text = F.trim(c)
-    cleaned = F.regexp_replace(text, ",|%|£|GBP", "")
-    return F.when(text.isin("", "N/A", "null", "-"), None).otherwise(number(cleaned))
+    """A figure in report text: thousands commas, ``%``, the pound sign and ``GBP`` are noise.
+
+    Words for "none" (``N/A``, ``null``, ``-``, blank) are no numbers and give NULL.
+    """
+    return F.regexp_replace(F.trim(c), "[,%£]|GBP", "").try_cast("double")

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import Column, functions as F
 
-# fixed values: date spellings accepted for an origination date
-ORIGINATION_FORMATS = ("yyyy-MM-dd", "yyyy-MM-dd HH:mm:ss", "MM/dd/yyyy", "dd-MMM-yyyy")
+from mortar.functions.casts import iso_date
+
+# fixed values: date spellings accepted besides yyyy-MM-dd
+OTHER_FORMATS = ("yyyy-MM-dd HH:mm:ss", "MM/dd/yyyy", "dd-MMM-yyyy")
 
 # fixed values: month names in report text
 MONTHS = ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"]
@@ -19,21 +21,18 @@ def month_steps(later: Column, earlier: Column) -> Column:
 
 def quarter_end(c: Column) -> Column:
     """``Q4-2006`` -> last day of the quarter."""
-    quarter = F.regexp_extract(c, r"^Q(\d)", 1).try_cast("int")
-    year = F.regexp_extract(c, r"(\d{4})$", 1).try_cast("int")
-    return F.when(quarter.between(1, 4) & (year >= 1), F.last_day(F.make_date(year, quarter * 3, F.lit(1))))
+    quarter, year = F.substring(c, 2, 1).try_cast("int"), F.right(c, F.lit(4)).try_cast("int")
+    return F.when(c.rlike(r"^Q[1-4].*\d{4}$"), F.last_day(F.make_date(year, quarter * 3, F.lit(1))))
 
 
 def quarter_middle(c: Column) -> Column:
     """``Q2-1997`` (any case, ``-``, ``/`` or blank) -> first day of the middle month."""
-    pattern = r"^[Qq]([1-4])[-/ ](\d{4})"
-    quarter = F.regexp_extract(c, pattern, 1).try_cast("int")
-    year = F.regexp_extract(c, pattern, 2).try_cast("int")
-    return F.when(quarter.isNotNull() & (year >= 1), F.make_date(year, quarter * 3 - 1, F.lit(1)))
+    quarter, year = F.substring(c, 2, 1).try_cast("int"), F.substring(c, 4, 4).try_cast("int")
+    return F.when(c.rlike(r"^[Qq][1-4][-/ ]\d{4}"), F.make_date(year, quarter * 3 - 1, F.lit(1)))
 
 
 def parse_date(c: Column) -> Column:
-    return F.coalesce(*[F.try_to_date(c, fmt) for fmt in ORIGINATION_FORMATS])
+    return F.coalesce(iso_date(c), *[F.try_to_date(c, fmt) for fmt in OTHER_FORMATS])
 
 
 def parse_origination(c: Column) -> Column:

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mortar.functions.averages import divide, half_even
-from mortar.functions.casts import parse_number
+from mortar.functions.casts import iso_date, parse_number
 from mortar.functions.dates import month_number
 from mortar.operators.history import keep_first
 from mortar.operators.rwa import class_a_enhancement
@@ -61,73 +61,150 @@ def select_reports(pages: DataFrame, config: DataFrame) -> DataFrame:
     )
 
 
-def _matched(text: Column, pattern: str, group: int) -> Column:
-    found = F.regexp_extract(text, pattern, group)
-    return F.when(found != "", found)
-
-
 def date_from_name(name: Column) -> Column:
     """``20201130`` or ``Dec 2021`` (end of month; February always has 28 days)."""
-    stamp = F.concat_ws("-", *[_matched(name, NAME_STAMP, g) for g in (1, 2, 3)])
-    month = month_number(_matched(F.lower(name), NAME_MONTH, 1))
-    year = _matched(F.lower(name), NAME_MONTH, 2).try_cast("int")
+    stamp = F.concat_ws("-", *[F.regexp_extract(name, NAME_STAMP, g) for g in (1, 2, 3)])
+    month = month_number(F.regexp_extract(F.lower(name), NAME_MONTH, 1))
+    year = F.regexp_extract(F.lower(name), NAME_MONTH, 2).try_cast("int")
     end = F.last_day(F.make_date(year, month, F.lit(1)))
     end = F.when(month == 2, F.make_date(year, month, F.lit(28))).otherwise(end)
-    return F.when(name.rlike(NAME_STAMP), F.try_to_date(stamp, "yyyy-MM-dd")).otherwise(end)
+    return F.when(name.rlike(NAME_STAMP), iso_date(stamp)).otherwise(end)
 
 
-def _date_in_text(text: Column) -> Column:
-    named = _matched(text, PERIOD_END, 1)
-    written = F.coalesce(*[F.try_to_date(named, f) for f in ("d-MMM-yyyy", "d/MMM/yyyy", "d-MMMM-yyyy")])
-    day, month, year = [_matched(text, ANY_DATE, g) for g in (1, 2, 3)]
-    anywhere = F.try_to_date(F.concat_ws("-", year, month_number(month).cast("string"), day), "yyyy-M-d")
-    return F.coalesce(written, anywhere)
+class PageColumns:
+    """Columns taken from one page, in two steps so that no expression runs twice.
 
+    ``raw`` holds what the expressions find on a page, ``made`` what follows from it, ``file`` the
+    aggregates that turn pages into one row per file.  A cheap test for the phrase goes before
+    every regular expression.
+    """
 
-def report_dates(pages: DataFrame, cutoff_pages: int = 3) -> DataFrame:
-    """Report date from the file name, cut-off date from the first pages, else the report date."""
-    found = F.when(F.col("page_no") <= cutoff_pages, _date_in_text(F.col("text")))
-    per_file = pages.groupBy(*FILE).agg(
-        F.min_by(found, F.when(found.isNotNull(), F.col("page_no"))).alias("found")
-    )
-    report = date_from_name(F.col("file_name"))
-    return per_file.select(*FILE, report.alias("ReportDate"), F.coalesce("found", report).alias("CutoffDate"))
+    def __init__(self) -> None:
+        self.raw: dict[str, Column] = {}
+        self.made: dict[str, Column] = {}
+        self.file: dict[str, Column] = {}
 
+    def first(self, name: str) -> Column:
+        """First value in page order."""
+        return F.min_by(F.col(name), F.when(F.col(name).isNotNull(), F.col("page_no")))
 
-def _first_usable(candidates: list[Column]) -> tuple[Column, Column]:
-    """First non-zero candidate of a page, and whether any candidate is zero."""
-    nonzero = F.coalesce(*[F.when(c != 0, c) for c in candidates])
-    zero = reduce(lambda a, b: a | b, [F.coalesce(c == 0, F.lit(False)) for c in candidates])
-    return nonzero, zero
+    def per_file(self, pages: DataFrame) -> DataFrame:
+        found = pages.withColumn("low", F.lower("text")).select(*FILE, "page_no", *[c.alias(n) for n, c in self.raw.items()])
+        made = found.select(*FILE, "page_no", *[c.alias(n) for n, c in self.made.items()])
+        return made.groupBy(*FILE).agg(*[c.alias(n) for n, c in self.file.items()])
 
 
-def pool_candidates(text: Column) -> dict[str, list[Column]]:
+def _date_columns(page: PageColumns, cutoff_pages: int) -> None:
+    text, early = F.col("text"), F.col("page_no") <= cutoff_pages
+    named = early & text.contains("Reporting Period End Date")
+    page.raw["named"] = F.when(named, F.regexp_extract(text, PERIOD_END, 1))
+    for part, group in (("day", 1), ("month", 2), ("year", 3)):
+        page.raw[part] = F.when(early & text.rlike(ANY_DATE), F.regexp_extract(text, ANY_DATE, group))
+    written = [F.try_to_date(F.nullif("named", F.lit("")), f) for f in ("d-MMM-yyyy", "d/MMM/yyyy", "d-MMMM-yyyy")]
+    month = F.lpad(month_number(F.col("month")).cast("string"), 2, "0")
+    anywhere = iso_date(F.concat(F.col("year"), F.lit("-"), month, F.lit("-"), F.lpad("day", 2, "0")))
+    page.made["date"] = F.coalesce(*written, anywhere)
+    page.file["found"] = page.first("date")
+
+
+def _candidates() -> dict[str, list[Column]]:
     """Candidate values of each metric on a page, in the order they are tried."""
-    numbers = lambda patterns: [parse_number(_matched(text, p, 1)) for p in patterns]
+    text, low = F.col("text"), F.col("low")
+
+    def number(phrase: str, pattern: str, group: int = 1) -> Column:
+        where = low if pattern.startswith("(?i)") else text
+        return F.when(where.contains(phrase), parse_number(F.regexp_extract(text, pattern, group)))
+
+    late = "Months in Arrears"
     rows = F.regexp_extract_all(text, F.lit(ARREARS_ROWS), F.lit(4))
-    total = F.aggregate(rows, F.lit(0.0), lambda acc, x: acc + F.coalesce(parse_number(x), F.lit(0.0)))
-    table = F.when(text.contains("Current Months in Arrears"), parse_number(_matched(text, ARREARS_THREE, 4)))
+    total = F.aggregate(
+        F.transform(rows, parse_number), F.lit(None).cast("double"), lambda a, v: F.coalesce(a, F.lit(0.0)) + F.coalesce(v, F.lit(0.0))
+    )
     return {
-        "PoolBalance": numbers(BALANCE),
-        "WA_LTV": numbers(LTV),
-        "LoanCount": numbers(LOANS),
-        "CPR_1m": numbers(CPR_MONTH),
-        "CPR_12m": numbers(CPR_YEAR),
+        "PoolBalance": [
+            number("Current Balance of Mortgage Loans", BALANCE[0]),
+            number("Outstanding Current Balance of the Portfolio", BALANCE[1]),
+        ],
+        "WA_LTV": [
+            number("weighted average loan to value", LTV[0]),
+            number("weighted average current loan to value", LTV[1]),
+        ],
+        "LoanCount": [number("Mortgage Loans", LOANS[0])],
+        "CPR_1m": [number("current cpr", CPR_MONTH[0]), number("constant principal pre", CPR_MONTH[1])],
+        "CPR_12m": [number("annualised cpr", CPR_YEAR[0])],
         "Arrears_90Plus_Pct": [
-            parse_number(_matched(text, ARREARS_SIX, 3)), table, F.when(F.size(rows) > 0, total),
+            number(late, ARREARS_SIX, 3),
+            number("Current Months in Arrears", ARREARS_THREE, 4),
+            F.when(text.contains(late), total),
         ],
     }
 
 
+def _metric_columns(page: PageColumns) -> None:
+    for name, candidates in _candidates().items():
+        tried = [f"{name}_{i}" for i in range(len(candidates))]
+        page.raw.update(zip(tried, candidates))
+        page.made[name] = F.coalesce(*[F.when(F.col(c) != 0, F.col(c)) for c in tried])
+        page.made[f"{name}_zero"] = reduce(lambda a, b: a | b, [F.coalesce(F.col(c) == 0, F.lit(False)) for c in tried])
+        page.file[name] = F.coalesce(page.first(name), F.when(F.max(f"{name}_zero"), F.lit(0.0)))
+
+
+def _note_columns(page: PageColumns, note_pages: int) -> None:
+    text = F.col("text")
+    lines = F.split(text, "\n")
+    figures = lambda line, p: F.transform(F.regexp_extract_all(line, F.lit(p), F.lit(1)), parse_number)
+    table_page = text.contains("Principal") & text.contains("Ending Balance")
+
+    def isin_row(line: Column) -> Column:
+        return (
+            line.contains("Class A") & line.contains("XS") & line.contains("GBP")
+            & ~line.contains("Class B") & ~line.contains("Notes")
+        )
+
+    def table_row(line: Column) -> Column:
+        return F.startswith(F.trim(line), F.lit("Class A")) & ~line.contains("Notes") & ~line.contains("XS")
+
+    def complete(cells: Column) -> Column:
+        return (F.size(cells) == 5) & (cells[3] > NOTE_MINIMUM) & (cells[4] > 0) & (cells[4] < 2)
+
+    large = F.transform(
+        F.filter(lines, isin_row), lambda line: F.filter(figures(line, NOTE_NUMBERS), lambda x: x > NOTE_MINIMUM)
+    )
+    here = (F.col("page_no") <= note_pages) & text.contains("Class A")
+    page.raw["isin_figures"] = F.when(here, F.get(F.filter(large, lambda x: F.size(x) > 0), F.lit(0)))
+    rows = F.transform(F.filter(lines, table_row), lambda line: figures(line, ROW_NUMBERS))
+    page.raw["table_figures"] = F.when(here & table_page, F.get(F.filter(rows, complete), F.lit(0)))
+    isin, table = F.col("isin_figures"), F.col("table_figures")
+    one = F.coalesce(F.get(isin, F.lit(1)), F.get(isin, F.lit(0)))
+    no_factor = F.lit(None).cast("double")
+    page.made["note"] = F.when(
+        one.isNotNull(), F.struct(one.alias("balance"), no_factor.alias("factor"))
+    ).when(table.isNotNull(), F.struct(F.get(table, F.lit(3)).alias("balance"), F.get(table, F.lit(4)).alias("factor")))
+    page.file["note"] = page.first("note")
+
+
+def _with_dates(files: DataFrame) -> DataFrame:
+    return files.withColumn("ReportDate", date_from_name(F.col("file_name"))).withColumn(
+        "CutoffDate", F.coalesce("found", "ReportDate")
+    )
+
+
+def report_dates(pages: DataFrame, cutoff_pages: int = 3) -> DataFrame:
+    """Report date from the file name, cut-off date from the first pages, else the report date."""
+    page = PageColumns()
+    _date_columns(page, cutoff_pages)
+    return _with_dates(page.per_file(pages)).select(*FILE, "ReportDate", "CutoffDate")
+
+
 def pool_metrics(pages: DataFrame) -> DataFrame:
     """Per file: the first non-zero value in page order, 0 when only zeros were found, else NULL."""
-    columns, aggs = {}, []
-    for name, candidates in pool_candidates(F.col("text")).items():
-        columns[f"{name}_v"], columns[f"{name}_z"] = _first_usable(candidates)
-        value = F.col(f"{name}_v")
-        first = F.min_by(value, F.when(value.isNotNull(), F.col("page_no")))
-        aggs.append(F.coalesce(first, F.when(F.max(f"{name}_z"), F.lit(0.0))).alias(name))
-    return pages.select(*FILE, "page_no", *[c.alias(n) for n, c in columns.items()]).groupBy(*FILE).agg(*aggs)
+    page = PageColumns()
+    _metric_columns(page)
+    return page.per_file(pages)
+
+
+def _with_notes(files: DataFrame) -> DataFrame:
+    return files.withColumns({"ClassA_Balance": F.col("note.balance"), "ReportedFactor": F.col("note.factor")}).drop("note")
 
 
 def note_balances(pages: DataFrame, note_pages: int = 10) -> DataFrame:
@@ -136,59 +213,39 @@ def note_balances(pages: DataFrame, note_pages: int = 10) -> DataFrame:
     Two layouts: a line with an ISIN and a currency (second large figure, else the only one), or a
     five-figure row of a principal table.  Earlier pages win, then the first layout, then earlier lines.
     """
-    text = F.col("text")
-    lines = pages.filter((F.col("page_no") <= note_pages) & text.contains("Class A")).select(
-        *FILE, "page_no",
-        (text.contains("Principal") & text.contains("Ending Balance")).alias("table"),
-        F.posexplode(F.split(text, "\n")).alias("line_no", "line"),
-    )
-    line = F.col("line")
-    has = line.contains
-    isin_row = has("Class A") & has("XS") & ~has("Class B") & has("GBP") & ~has("Notes")
-    table_row = F.col("table") & F.startswith(F.trim(line), F.lit("Class A")) & ~has("Notes") & ~has("XS")
-    figures = lambda p: F.transform(F.regexp_extract_all(line, F.lit(p), F.lit(1)), parse_number)
-    large = F.filter(figures(NOTE_NUMBERS), lambda x: x > NOTE_MINIMUM)
-    cells = figures(ROW_NUMBERS)
-    rows = lines.filter(isin_row | table_row).select(
-        *FILE, "page_no", "line_no",
-        F.when(isin_row, F.coalesce(F.get(large, F.lit(1)), F.get(large, F.lit(0)))).alias("one"),
-        F.when(table_row & (F.size(cells) == 5), F.get(cells, F.lit(3))).alias("two"),
-        F.when(table_row & (F.size(cells) == 5), F.get(cells, F.lit(4))).alias("factor"),
-    )
-    good = (F.col("two") > NOTE_MINIMUM) & (F.col("factor") > 0) & (F.col("factor") < 2)
-    rows = rows.withColumn("two", F.when(good, F.col("two"))).withColumn("factor", F.when(good, F.col("factor")))
-    found = F.coalesce("one", "two")
-    rank = F.struct("page_no", F.col("one").isNull().alias("second"), "line_no")
-    best = F.min(F.when(found.isNotNull(), F.struct(rank.alias("rank"), found.alias("value"), F.when(F.col("one").isNull(), F.col("factor")).alias("factor"))))
-    return (
-        rows.groupBy(*FILE).agg(best.alias("x"))
-        .select(*FILE, F.col("x.value").alias("ClassA_Balance"), F.col("x.factor").alias("ReportedFactor"))
-        .filter("ClassA_Balance IS NOT NULL")
-    )
+    page = PageColumns()
+    _note_columns(page, note_pages)
+    return _with_notes(page.per_file(pages)).filter("ClassA_Balance IS NOT NULL")
 
 
-def class_a_ratios(notes: DataFrame, config: DataFrame) -> DataFrame:
-    """Credit enhancement and factor of Class A (the reported factor is preferred), 4 digits."""
-    settings = config.select("deal_id", "original_class_a", "subordination")
+def _with_ratios(files: DataFrame, config: DataFrame) -> DataFrame:
+    settings = F.broadcast(config.select("deal_id", "original_class_a", "subordination"))  # one row per deal
     balance = F.col("ClassA_Balance")
     factor = F.coalesce("ReportedFactor", divide(balance, F.col("original_class_a")))
-    return notes.join(F.broadcast(settings), "deal_id", "left").select(
-        *FILE, "ClassA_Balance",
-        half_even(class_a_enhancement(balance, F.col("subordination")), 4).alias("CE_ClassA"),
-        half_even(factor, 4).alias("Factor_ClassA"),
+    return files.join(settings, "deal_id", "left").withColumns(
+        {
+            "CE_ClassA": half_even(class_a_enhancement(balance, F.col("subordination")), 4),
+            "Factor_ClassA": half_even(factor, 4),
+        }
     )
 
 
-def report_metrics(pages: DataFrame, config: DataFrame) -> DataFrame:
-    """One row per deal and cut-off; files without a cut-off are dropped, the first file name wins."""
-    chosen = select_reports(pages, config)
-    rows = (
-        report_dates(chosen)
-        .filter("CutoffDate IS NOT NULL")
-        .join(pool_metrics(chosen), FILE)
-        .join(class_a_ratios(note_balances(chosen), config), FILE, "left")
-        .withColumnRenamed("deal_id", "DealID")
-    )
+def class_a_ratios(notes: DataFrame, config: DataFrame) -> DataFrame:
+    """Credit enhancement and factor of Class A (the reported factor is preferred), 4 digits."""
+    return _with_ratios(notes, config).select(*FILE, "ClassA_Balance", "CE_ClassA", "Factor_ClassA")
+
+
+def report_metrics(pages: DataFrame, config: DataFrame, cutoff_pages: int = 3, note_pages: int = 10) -> DataFrame:
+    """One row per deal and cut-off; files without a cut-off are dropped, the first file name wins.
+
+    Dates, pool metrics and notes are taken in one pass over the pages and one shuffle by file.
+    """
+    page = PageColumns()
+    _date_columns(page, cutoff_pages)
+    _metric_columns(page)
+    _note_columns(page, note_pages)
+    files = _with_dates(page.per_file(select_reports(pages, config))).filter("CutoffDate IS NOT NULL")
+    rows = _with_ratios(_with_notes(files), config).withColumnRenamed("deal_id", "DealID")
     return keep_first(rows, ["DealID", "CutoffDate"], "file_name").select(
         "DealID", "ReportDate", "CutoffDate", "CPR_1m", "CPR_12m", "PoolBalance", "WA_LTV", "Arrears_90Plus_Pct",
         "CE_ClassA", "Factor_ClassA",

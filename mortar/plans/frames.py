@@ -3,48 +3,64 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from weakref import WeakKeyDictionary
 
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from mortar.operators import prep, star
+from mortar.session import tune
 from mortar.sources import sample_tape
 
+#: per session: analysed (still lazy) source frames, so that a query does not rebuild the tape's plan
+_KNOWN: WeakKeyDictionary = WeakKeyDictionary()
+
 
 class Frames:
     """Lazy frames over one test-data folder."""
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        if spark not in _KNOWN:
+            _KNOWN[spark] = {}
+            tune(spark)
+
+    def _once(self, name: str, build) -> DataFrame:
+        known = _KNOWN[self.spark]
+        if (name, self.sf_dir) not in known:
+            known[name, self.sf_dir] = build()
+        return known[name, self.sf_dir]
 
     def tape(self, region: bool = False) -> DataFrame:
-        return sample_tape.loan_tape(self.spark, self.sf_dir, region)
+        return self._once(f"tape {region}", lambda: sample_tape.loan_tape(self.spark, self.sf_dir, region))
 
     def raw(self) -> DataFrame:
         return sample_tape.raw_tape(self.spark, self.sf_dir)
 
     def fact(self) -> DataFrame:
-        return star.fact_loan_period(self.tape())
+        return self._once("fact", lambda: star.fact_loan_period(self.tape()))
 
     def dim(self, region: bool = True) -> DataFrame:
-        return star.dim_loan(self.tape(region))
+        return self._once(f"dim {region}", lambda: star.dim_loan(self.tape(region)))
 
     def star(self, *columns: str) -> DataFrame:
         return star.star_join(self.fact(), self.dim("Region" in columns), list(columns))
 
     def loans(self, region: bool = False, tape_keys: Sequence[str] | None = None) -> DataFrame:
-        return prep.prep_loans(self.tape(region), tape_keys)
+        return self._once(
+            f"loans {region} {tape_keys}", lambda: prep.prep_loans(self.tape(region), tape_keys)
+        )
 
     def exits(self) -> DataFrame:
         return prep.prep_exits(prep.exits_sheet(self.tape()))
 
     def notes(self) -> DataFrame:
-        return sample_tape.note_tape(self.spark, self.sf_dir)
+        return self._once("notes", lambda: sample_tape.note_tape(self.spark, self.sf_dir))
 
     def reported(self) -> DataFrame:
-        return sample_tape.reported_history(self.spark, self.sf_dir)
+        return self._once("reported", lambda: sample_tape.reported_history(self.spark, self.sf_dir))
 
     def pages(self) -> DataFrame:
-        return sample_tape.report_pages(self.spark, self.sf_dir)
+        return self._once("pages", lambda: sample_tape.report_pages(self.spark, self.sf_dir))
 
 
 def present(df: DataFrame, **digits: int) -> DataFrame:
