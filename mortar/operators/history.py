@@ -103,7 +103,7 @@ def arrears_migration_periods(fact: DataFrame) -> DataFrame:
         .agg(newest.alias("x"))
         .select("DealID", "LoanID", "CutoffDate", "x.CurrentBalance", arrears_bucket(F.col("x.MonthsInArrears")).alias("ToBucket"))
     )
-    window = Window.partitionBy("DealID", "LoanID").orderBy("CutoffDate")
+    window = Window.partitionBy("LoanID", "DealID").orderBy("CutoffDate")
     pairs = per_period.withColumn("FromBucket", F.lag("ToBucket").over(window)).filter("FromBucket IS NOT NULL")
     return _migration(pairs, ["DealID", "CutoffDate"])
 

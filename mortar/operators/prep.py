@@ -13,6 +13,7 @@ from mortar.functions import bands
 from mortar.functions.averages import divide, wavg_strict
 from mortar.functions.casts import decode, decode_number, money, number
 from mortar.functions.dates import month_steps, parse_date, parse_origination, period
+from mortar.operators.grouping import join_small
 from mortar.sources.seeds import DQ_BUCKETS, PREP_LABELS
 
 TAPE_SOURCE = "Tape (loan-level)"
@@ -47,7 +48,7 @@ def _cutoff(tape: DataFrame, tape_keys: Sequence[str] | None) -> DataFrame:
     if tape_keys is None:
         return tape.withColumn("CutoffDate", own)
     latest = tape.groupBy(*tape_keys).agg(F.max(own).alias("CutoffDate"))
-    return tape.join(latest, list(tape_keys))
+    return join_small(tape, latest, tape_keys, "inner")
 
 
 def prep_loans(tape: DataFrame, tape_keys: Sequence[str] | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mortar.functions.averages import divide, half_even
 from mortar.functions.casts import decode
-from mortar.operators.grouping import next_in_group, with_totals
+from mortar.operators.grouping import join_small, next_in_group, with_totals
 from mortar.sources.seeds import (
     CAPITAL_RATIO,
     FLOOR_WEIGHT,
@@ -125,7 +125,7 @@ def rwa_share(tranches: DataFrame) -> DataFrame:
 
 def rwa_movement(tranches: DataFrame) -> DataFrame:
     """Change of RWA from one cut-off to the next of the same note (one row per note and cut-off)."""
-    window = Window.partitionBy("DealID", "NoteID").orderBy("CutoffDate")
+    window = Window.partitionBy("NoteID", "DealID").orderBy("CutoffDate")
     per_cutoff = tranches.groupBy("DealID", "NoteID", "CutoffDate").agg(
         F.sum("CurrentBalance").alias("CurrentBalance"), F.sum("RWA").alias("RWA")
     )
@@ -183,7 +183,7 @@ def structure_checks(notes: DataFrame) -> DataFrame:
         F.count_if(F.col("Seniority") == SENIOR).alias("seniors"), F.max("Detachment").alias("top")
     )
     count = check(per_deal.filter("seniors <> 1"), "SENIOR_COUNT", F.col("seniors").cast("string"))
-    low = notes.filter(F.col("Seniority") == SENIOR).join(per_deal, DEAL).filter(F.col("Detachment") != F.col("top"))
+    low = join_small(notes.filter(F.col("Seniority") == SENIOR), per_deal, DEAL, "inner").filter(F.col("Detachment") != F.col("top"))
     return reduce(DataFrame.unionByName, [overlap, count, check(low, "SENIOR_NOT_TOP", F.col("NoteID"))])
 
 
