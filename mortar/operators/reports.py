@@ -98,11 +98,12 @@ def _date_columns(page: PageColumns, cutoff_pages: int) -> None:
     text, early = F.col("text"), F.col("page_no") <= cutoff_pages
     named = early & text.contains("Reporting Period End Date")
     page.raw["named"] = F.when(named, F.regexp_extract(text, PERIOD_END, 1))
-    for part, group in (("day", 1), ("month", 2), ("year", 3)):
-        page.raw[part] = F.when(early & text.rlike(ANY_DATE), F.regexp_extract(text, ANY_DATE, group))
+    page.raw["any_date"] = F.when(early, F.regexp_extract(text, ANY_DATE, 0))
     written = [F.try_to_date(F.nullif("named", F.lit("")), f) for f in ("d-MMM-yyyy", "d/MMM/yyyy", "d-MMMM-yyyy")]
-    month = F.lpad(month_number(F.col("month")).cast("string"), 2, "0")
-    anywhere = iso_date(F.concat(F.col("year"), F.lit("-"), month, F.lit("-"), F.lpad("day", 2, "0")))
+    parts = F.split("any_date", "[-/]")
+    day, month, year = [F.get(parts, F.lit(i)) for i in range(3)]
+    month = F.lpad(month_number(month).cast("string"), 2, "0")
+    anywhere = iso_date(F.concat(year, F.lit("-"), month, F.lit("-"), F.lpad(day, 2, "0")))
     page.made["date"] = F.coalesce(*written, anywhere)
     page.file["found"] = page.first("date")
 
@@ -176,11 +177,12 @@ def _note_columns(page: PageColumns, note_pages: int) -> None:
     page.raw["table_figures"] = F.when(here & table_page, F.get(F.filter(rows, complete), F.lit(0)))
     isin, table = F.col("isin_figures"), F.col("table_figures")
     one = F.coalesce(F.get(isin, F.lit(1)), F.get(isin, F.lit(0)))
-    no_factor = F.lit(None).cast("double")
-    page.made["note"] = F.when(
-        one.isNotNull(), F.struct(one.alias("balance"), no_factor.alias("factor"))
-    ).when(table.isNotNull(), F.struct(F.get(table, F.lit(3)).alias("balance"), F.get(table, F.lit(4)).alias("factor")))
-    page.file["note"] = page.first("note")
+    # plain doubles, not a struct: they keep the aggregate a hash aggregate
+    page.made["balance"] = F.coalesce(one, F.get(table, F.lit(3)))
+    page.made["factor"] = F.when(one.isNull(), F.get(table, F.lit(4)))
+    where = F.when(F.col("balance").isNotNull(), F.col("page_no"))
+    page.file["ClassA_Balance"] = F.min_by("balance", where)
+    page.file["ReportedFactor"] = F.min_by("factor", where)
 
 
 def _with_dates(files: DataFrame) -> DataFrame:
@@ -203,10 +205,6 @@ def pool_metrics(pages: DataFrame) -> DataFrame:
     return page.per_file(pages)
 
 
-def _with_notes(files: DataFrame) -> DataFrame:
-    return files.withColumns({"ClassA_Balance": F.col("note.balance"), "ReportedFactor": F.col("note.factor")}).drop("note")
-
-
 def note_balances(pages: DataFrame, note_pages: int = 10) -> DataFrame:
     """Class A balance, and factor where reported, from the lines of the note pages.
 
@@ -215,7 +213,7 @@ def note_balances(pages: DataFrame, note_pages: int = 10) -> DataFrame:
     """
     page = PageColumns()
     _note_columns(page, note_pages)
-    return _with_notes(page.per_file(pages)).filter("ClassA_Balance IS NOT NULL")
+    return page.per_file(pages).filter("ClassA_Balance IS NOT NULL")
 
 
 def _with_ratios(files: DataFrame, config: DataFrame) -> DataFrame:
@@ -245,7 +243,7 @@ def report_metrics(pages: DataFrame, config: DataFrame, cutoff_pages: int = 3, n
     _metric_columns(page)
     _note_columns(page, note_pages)
     files = _with_dates(page.per_file(select_reports(pages, config))).filter("CutoffDate IS NOT NULL")
-    rows = _with_ratios(_with_notes(files), config).withColumnRenamed("deal_id", "DealID")
+    rows = _with_ratios(files, config).withColumnRenamed("deal_id", "DealID")
     return keep_first(rows, ["DealID", "CutoffDate"], "file_name").select(
         "DealID", "ReportDate", "CutoffDate", "CPR_1m", "CPR_12m", "PoolBalance", "WA_LTV", "Arrears_90Plus_Pct",
         "CE_ClassA", "Factor_ClassA",
