@@ -24,18 +24,16 @@ BALANCE = [
     r"Current Balance of Mortgage Loans[^\d]*([\d,]+\.?\d*)",
     r"Outstanding Current Balance of the Portfolio[^\d]*([\d,]+\.?\d*)",
 ]
-LTV = [
-    r"(?i)Weighted Average Loan to Value[^\d]*([\d.]+)%?",
-    r"(?i)Weighted Average Current Loan to Value[^\d]*([\d.]+)%?",
-]
 LOANS = [r"Number of.*Mortgage Loans[^\d]*([\d,]+)"]
-CPR_YEAR = [r"(?i)Annualised CPR[^\d]*([\d.]+)%?"]
-CPR_MONTH = [r"(?i)Current CPR\s+([\d.]+)%?", r"(?i)Constant Principal Pre-?payment Rate[^\d]*([\d.]+)%?"]
+# these are found in any case: they are written, and applied to the text, in lower case
+LTV = [r"weighted average loan to value[^\d]*([\d.]+)%?", r"weighted average current loan to value[^\d]*([\d.]+)%?"]
+CPR_YEAR = [r"annualised cpr[^\d]*([\d.]+)%?"]
+CPR_MONTH = [r"current cpr\s+([\d.]+)%?", r"constant principal pre-?payment rate[^\d]*([\d.]+)%?"]
+ANY_DATE = r"(\d{1,2})[-/](jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[-/](\d{4})"
 ARREARS_SIX = r">\s*6\.?\d*\s*Months in Arrears[^\d]*([\d,]+\.?\d*)[^\d]*([\d,]+)[^\d]*([\d.]+)%?"
 ARREARS_THREE = r">=\s*3\s+(\d+)\s+([\d.]+)%?\s+([\d,.]+)\s+([\d.]+)%?"
 ARREARS_ROWS = r"([345]\.?\d*|>\s*6).*Months in Arrears[^\d]*([\d,]+\.?\d*)[^\d]*([\d,]+)[^\d]*([\d.]+)%?"
 PERIOD_END = r"Reporting Period End Date[:\s]+(\d{1,2}[-/]\w+[-/]\d{4})"
-ANY_DATE = r"(?i)(\d{1,2})[-/](Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[-/](\d{4})"
 NAME_STAMP = r"(\d{4})(\d{2})(\d{2})"
 NAME_MONTH = r"(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)\s*(\d{4})"
 NOTE_NUMBERS = r"([\d,]{3,}(?:,\d{3})*\.?\d*)"
@@ -98,7 +96,7 @@ def _date_columns(page: PageColumns, cutoff_pages: int) -> None:
     text, early = F.col("text"), F.col("page_no") <= cutoff_pages
     named = early & text.contains("Reporting Period End Date")
     page.raw["named"] = F.when(named, F.regexp_extract(text, PERIOD_END, 1))
-    page.raw["any_date"] = F.when(early, F.regexp_extract(text, ANY_DATE, 0))
+    page.raw["any_date"] = F.when(early, F.regexp_extract("low", ANY_DATE, 0))
     written = [F.try_to_date(F.nullif("named", F.lit("")), f) for f in ("d-MMM-yyyy", "d/MMM/yyyy", "d-MMMM-yyyy")]
     parts = F.split("any_date", "[-/]")
     day, month, year = [F.get(parts, F.lit(i)) for i in range(3)]
@@ -112,9 +110,8 @@ def _candidates() -> dict[str, list[Column]]:
     """Candidate values of each metric on a page, in the order they are tried."""
     text, low = F.col("text"), F.col("low")
 
-    def number(phrase: str, pattern: str, group: int = 1) -> Column:
-        where = low if pattern.startswith("(?i)") else text
-        return F.when(where.contains(phrase), parse_number(F.regexp_extract(text, pattern, group)))
+    def number(where: Column, phrase: str, pattern: str, group: int = 1) -> Column:
+        return F.when(where.contains(phrase), parse_number(F.regexp_extract(where, pattern, group)))
 
     late = "Months in Arrears"
     rows = F.regexp_extract_all(text, F.lit(ARREARS_ROWS), F.lit(4))
@@ -123,19 +120,19 @@ def _candidates() -> dict[str, list[Column]]:
     )
     return {
         "PoolBalance": [
-            number("Current Balance of Mortgage Loans", BALANCE[0]),
-            number("Outstanding Current Balance of the Portfolio", BALANCE[1]),
+            number(text, "Current Balance of Mortgage Loans", BALANCE[0]),
+            number(text, "Outstanding Current Balance of the Portfolio", BALANCE[1]),
         ],
         "WA_LTV": [
-            number("weighted average loan to value", LTV[0]),
-            number("weighted average current loan to value", LTV[1]),
+            number(low, "weighted average loan to value", LTV[0]),
+            number(low, "weighted average current loan to value", LTV[1]),
         ],
-        "LoanCount": [number("Mortgage Loans", LOANS[0])],
-        "CPR_1m": [number("current cpr", CPR_MONTH[0]), number("constant principal pre", CPR_MONTH[1])],
-        "CPR_12m": [number("annualised cpr", CPR_YEAR[0])],
+        "LoanCount": [number(text, "Mortgage Loans", LOANS[0])],
+        "CPR_1m": [number(low, "current cpr", CPR_MONTH[0]), number(low, "constant principal pre", CPR_MONTH[1])],
+        "CPR_12m": [number(low, "annualised cpr", CPR_YEAR[0])],
         "Arrears_90Plus_Pct": [
-            number(late, ARREARS_SIX, 3),
-            number("Current Months in Arrears", ARREARS_THREE, 4),
+            number(text, late, ARREARS_SIX, 3),
+            number(text, "Current Months in Arrears", ARREARS_THREE, 4),
             F.when(text.contains(late), total),
         ],
     }

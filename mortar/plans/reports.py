@@ -18,6 +18,9 @@ CHOSEN = (
 )
 
 
+ANY_CASE = "(?i)"
+
+
 def _q(pattern: str) -> str:
     return "'" + pattern.replace("'", "''") + "'"
 
@@ -46,8 +49,8 @@ REPORT_DATE = (
 )
 _WRITTEN = f"CAST(try_strptime({_found('text', reports.PERIOD_END, 1)}, ['%d-%b-%Y', '%d/%b/%Y', '%d-%B-%Y']) AS DATE)"
 _ANY = (
-    f"TRY_CAST({_found('text', reports.ANY_DATE, 3)} || '-' || lpad(CAST({_month(_found('text', reports.ANY_DATE, 2))} AS VARCHAR), 2, '0')"
-    f" || '-' || lpad({_found('text', reports.ANY_DATE, 1)}, 2, '0') AS DATE)"
+    f"TRY_CAST({_found('text', ANY_CASE + reports.ANY_DATE, 3)} || '-' || lpad(CAST({_month(_found('text', ANY_CASE + reports.ANY_DATE, 2))} AS VARCHAR), 2, '0')"
+    f" || '-' || lpad({_found('text', ANY_CASE + reports.ANY_DATE, 1)}, 2, '0') AS DATE)"
 )
 DATES = f"""dates AS (SELECT deal_id, file_name, {REPORT_DATE} AS ReportDate, COALESCE(found, {REPORT_DATE}) AS CutoffDate FROM
  (SELECT deal_id, file_name, arg_min(hit, page_no) FILTER (WHERE hit IS NOT NULL) AS found FROM
@@ -57,10 +60,10 @@ DATES = f"""dates AS (SELECT deal_id, file_name, {REPORT_DATE} AS ReportDate, CO
 _ROWS = f"regexp_extract_all(text, {_q(reports.ARREARS_ROWS)}, 4)"
 _CANDIDATES = {
     "PoolBalance": [_num(_found("text", p, 1)) for p in reports.BALANCE],
-    "WA_LTV": [_num(_found("text", p, 1)) for p in reports.LTV],
+    "WA_LTV": [_num(_found("text", ANY_CASE + p, 1)) for p in reports.LTV],
     "LoanCount": [_num(_found("text", p, 1)) for p in reports.LOANS],
-    "CPR_1m": [_num(_found("text", p, 1)) for p in reports.CPR_MONTH],
-    "CPR_12m": [_num(_found("text", p, 1)) for p in reports.CPR_YEAR],
+    "CPR_1m": [_num(_found("text", ANY_CASE + p, 1)) for p in reports.CPR_MONTH],
+    "CPR_12m": [_num(_found("text", ANY_CASE + p, 1)) for p in reports.CPR_YEAR],
     "Arrears_90Plus_Pct": [
         _num(_found("text", reports.ARREARS_SIX, 3)),
         f"CASE WHEN contains(text, 'Current Months in Arrears') THEN {_num(_found('text', reports.ARREARS_THREE, 4))} END",
