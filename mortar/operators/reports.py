@@ -53,7 +53,7 @@ def select_reports(pages: DataFrame, config: DataFrame) -> DataFrame:
     name = F.col("file_name")
     rating = name.contains("DBRS") | F.lower(name).contains("rating")
     return (
-        pages.join(F.broadcast(config.select("deal_id", "ir_pattern")), "deal_id")
+        pages.join(config.select("deal_id", "ir_pattern"), "deal_id")
         .filter(F.rlike(name, F.col("ir_pattern")) & ~rating)
         .drop("ir_pattern")
     )
@@ -214,7 +214,7 @@ def note_balances(pages: DataFrame, note_pages: int = 10) -> DataFrame:
 
 
 def _with_ratios(files: DataFrame, config: DataFrame) -> DataFrame:
-    settings = F.broadcast(config.select("deal_id", "original_class_a", "subordination"))  # one row per deal
+    settings = config.select("deal_id", "original_class_a", "subordination")
     balance = F.col("ClassA_Balance")
     factor = F.coalesce("ReportedFactor", divide(balance, F.col("original_class_a")))
     return files.join(settings, "deal_id", "left").withColumns(

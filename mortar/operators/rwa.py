@@ -75,7 +75,7 @@ def with_tranche_config(notes: DataFrame, config: DataFrame) -> DataFrame:
     settings = config.select("DealID", "TrancheID", *[F.col(c).alias(f"_{c}") for c in ("Rating", "Seniority", "WAL")])
     return (
         notes.drop("Rating", "Seniority", "WAL")
-        .join(F.broadcast(settings), ["DealID", "TrancheID"], "left")
+        .join(settings, ["DealID", "TrancheID"], "left")
         .withColumn("Rating", F.coalesce("_Rating", F.lit("NR")))
         .withColumn("Seniority", F.coalesce("_Seniority", F.lit("non-senior")))
         .withColumn("WAL", F.coalesce("_WAL", F.lit(5.0)))
