@@ -20,6 +20,7 @@ import sys
 import unicodedata
 import uuid
 from array import array
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -27,7 +28,7 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mortar.llm import columns
+from mortar.llm import bytescan, columns
 
 #: Unicode white space.
 SPACE = "\\t-\\r \\x85\\xa0\\u1680\\u2000-\\u200a\\u2028\\u2029\\u202f\\u205f\\u3000"
@@ -296,43 +297,63 @@ def share_vocabulary(spark: SparkSession, path: str):
         return uuid.uuid4().hex, spark.sparkContext.broadcast(f.read())
 
 
-def ids_udf(spark: SparkSession, path: str):
-    """Column function: text -> array of ids."""
-    token, shared = share_vocabulary(spark, path)
+def _ids_array(coded: list[bytes]) -> pa.Array:
+    sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
+    offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
+    return pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(coded), "<i4")))
 
-    @F.arrow_udf("array<int>")
-    def ids(text: pa.Array) -> pa.Array:
+
+def _mapped(df: DataFrame, path: str, column: str, added: dict[str, tuple[str, object]]) -> DataFrame:
+    """Rows in small batches with columns added; ``added``: name -> (type, function of encoder and the input column)."""
+    token, shared = share_vocabulary(df.sparkSession, path)
+    kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name not in added]
+    schema = ", ".join([*kept, *(f"`{n}` {kind}" for n, (kind, _) in added.items())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = worker_encoder(token, shared)
-        coded = [encoder.encode(t) for t in text.to_pylist()]
-        sizes = np.fromiter(map(len, coded), np.int64, len(coded)) // 4
-        offsets = np.concatenate([[0], np.cumsum(sizes)]).astype(np.int32)
-        return pa.ListArray.from_arrays(offsets, pa.array(np.frombuffer(b"".join(coded), "<i4")))
+        for batch in bytescan.sliced(batches, column) if column == "text" else _few(batches):
+            made: dict[str, pa.Array] = {}
+            for name, (_, make) in added.items():
+                made[name] = make(encoder, batch.column(column), made)
+            yield bytescan.with_columns(batch, **made)
 
-    return ids
+    return df.mapInArrow(run, schema)
 
 
-def text_udf(spark: SparkSession, path: str):
-    """Column function: array of ids -> decoded text."""
-    token, shared = share_vocabulary(spark, path)
+def _few(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, rows):
+            yield batch.slice(at, rows)
 
-    @F.arrow_udf("string")
-    def text(ids: pa.Array) -> pa.Array:
-        encoder = worker_encoder(token, shared)
-        return pa.array([None if x is None else encoder.decode(x) for x in ids.to_pylist()], pa.string())
 
-    return text
+def _encoded(encoder: Encoder, text: pa.Array, _) -> pa.Array:
+    return _ids_array([encoder.encode(t) for t in text.to_pylist()])
+
+
+def _decoded(encoder: Encoder, ids: pa.Array, _=None) -> pa.Array:
+    strings = encoder.strings.get
+    rows = (None if not x.is_valid else x.values.to_numpy(zero_copy_only=False).tolist() for x in ids)
+    return pa.array([None if x is None else " ".join([t for t in map(strings, x) if t is not None]) for x in rows], pa.string())
 
 
 def encode(docs: DataFrame, path: str, column: str = "ids") -> DataFrame:
     """Add the ids of every whole text; a column of that name is replaced."""
     columns.need(docs, "text")
-    return docs.withColumn(column, ids_udf(docs.sparkSession, path)(F.col("text")))
+    return _mapped(docs, path, "text", {column: ("array<int>", _encoded)})
 
 
 def decode(coded: DataFrame, path: str, ids: str = "ids", column: str = "decoded") -> DataFrame:
     """Add the text decoded from a column of ids."""
     columns.need(coded, ids)
-    return coded.withColumn(column, text_udf(coded.sparkSession, path)(F.col(ids)))
+    return _mapped(coded, path, ids, {column: ("string", _decoded)})
+
+
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """Add ``ids`` and the text ``decoded`` from them in one pass."""
+    columns.need(docs, "text")
+    return _mapped(
+        docs, path, "text", {"ids": ("array<int>", _encoded), "decoded": ("string", lambda e, _, made: _decoded(e, made["ids"]))}
+    )
 
 
 def digest_columns() -> list:
@@ -346,5 +367,5 @@ def digest_columns() -> list:
 
 def digests(docs: DataFrame, path: str) -> DataFrame:
     """Per document: doc_id, n_tokens, and digests of its ids and of the text decoded from them."""
-    coded = decode(encode(docs.select("doc_id", "text"), path).drop("text"), path)
+    coded = round_trip(docs.select("doc_id", "text"), path)
     return coded.select("doc_id", F.size("ids").cast("long").alias("n_tokens"), *digest_columns())

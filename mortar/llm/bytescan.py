@@ -7,6 +7,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Bytes scanned together.  A longer text is a block of its own.
 BLOCK = 1 << 20
@@ -42,6 +43,28 @@ def blocks(column: pa.Array, limit: int = BLOCK) -> Iterator[tuple[int, np.ndarr
         first = last
 
 
+def sliced(batches: Iterator[pa.RecordBatch], column: str, limit: int = BLOCK) -> Iterator[pa.RecordBatch]:
+    """The same rows in batches of about ``limit`` bytes of text: what a task holds does not depend on Spark's batches."""
+    for batch in batches:
+        n = batch.num_rows
+        if not n:
+            continue
+        text = batch.column(column)
+        bounds = np.concatenate([[0], np.cumsum(pc.fill_null(pc.binary_length(text), 0).to_numpy(zero_copy_only=False))])
+        first = 0
+        while first < n:
+            last = int(np.searchsorted(bounds, bounds[first] + limit, side="right")) - 1
+            last = min(n, max(last, first + 1), first + 2048)
+            yield batch.slice(first, last - first)
+            first = last
+
+
+def with_columns(batch: pa.RecordBatch, **new: pa.Array) -> pa.RecordBatch:
+    """A batch with columns added or replaced."""
+    kept = [(n, batch.column(n)) for n in batch.schema.names if n not in new]
+    return pa.RecordBatch.from_arrays([c for _, c in kept] + [*new.values()], names=[n for n, _ in kept] + [*new])
+
+
 def spans(inside: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Starts and ends of the runs of true bytes; no run crosses a text's end."""
     if inside.size == 0:

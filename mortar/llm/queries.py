@@ -8,7 +8,7 @@ import public_tokenizers
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mortar.llm import bpe, decontaminate
+from mortar.llm import bpe, decontaminate, records, simhash
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -35,6 +35,16 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return records.round_trip(table(spark, sf_dir, "documents"), VOCABULARY)
+
+
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 SQL["op4_decontamination"] = f"""
