@@ -8,7 +8,7 @@ import public_tokenizers
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mortar.llm import bpe, decontaminate, records, simhash
+from mortar.llm import bpe, decontaminate, iblt, langid, records, simhash
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -35,6 +35,16 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.report(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+@query
+def op5_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.identify(table(spark, sf_dir, "documents"))
+
+
+@query
+def op6_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return iblt.compare_versions(table(spark, sf_dir, "documents"))
+
+
 @query
 def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
