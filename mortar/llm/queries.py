@@ -8,7 +8,7 @@ import public_tokenizers
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mortar.llm import bpe, decontaminate, iblt, langid, records, simhash
+from mortar.llm import bpe, chunks, decontaminate, iblt, langid, records, simhash
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -50,6 +50,11 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(table(spark, sf_dir, "documents"))
 
 
+@query
+def op8_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op9_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.round_trip(table(spark, sf_dir, "documents"), VOCABULARY)
