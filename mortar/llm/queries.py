@@ -8,7 +8,7 @@ import public_tokenizers
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mortar.llm import bpe, chunks, decontaminate, iblt, langid, records, simhash
+from mortar.llm import bpe, chunks, decontaminate, iblt, langid, quality, records, simhash, warc
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -25,6 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages"))
+
+
 @query
 def op3_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.digests(table(spark, sf_dir, "documents"), VOCABULARY)
@@ -60,6 +65,11 @@ def op9_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     return records.round_trip(table(spark, sf_dir, "documents"), VOCABULARY)
 
 
+@query
+def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.classify(table(spark, sf_dir, "documents"))
+
+
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 SQL["op4_decontamination"] = f"""
