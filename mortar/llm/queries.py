@@ -8,7 +8,7 @@ import public_tokenizers
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mortar.llm import bpe, chunks, decontaminate, iblt, langid, quality, records, simhash, warc
+from mortar.llm import bpe, chunks, decontaminate, iblt, langid, line_dedup, quality, records, simhash, warc
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -25,6 +25,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query
+def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.report(table(spark, sf_dir, "documents"))
+
+
 @query
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.round_trip(table(spark, sf_dir, "pages"))
