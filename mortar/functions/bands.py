@@ -111,4 +111,6 @@ def arrears_bucket(months: Column) -> Column:
 
 
 def base_pd(months: Column) -> Column:
-    return ladder(F.coalesce(months, F.lit(0.0)), PD_LADDER, closed=True)
+    """The first step holds for no arrears exactly; negative months belong to the second."""
+    known_months = F.coalesce(months, F.lit(0.0))
+    return F.when(known_months == 0, F.lit(PD_LADDER[0][1])).otherwise(ladder(known_months, PD_LADDER[1:], closed=True))

@@ -31,9 +31,17 @@ def iso_date(c: Column) -> Column:
     return F.when(shaped, c.try_cast("date"))
 
 
+#: what counts as a figure: Spark's own cast also takes a type suffix (``12d``)
+_FIGURE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
+
+
+def _figure(c: Column) -> Column:
+    return F.when(c.rlike(_FIGURE), c.try_cast("double"))
+
+
 def number(c: Column) -> Column:
-    """Any numeric text as double; NaN counts as no value."""
-    return F.nanvl(c.try_cast("double"), F.lit(None).cast("double"))
+    """Any numeric text as double, else NULL."""
+    return _figure(c.cast("string"))
 
 
 def _quoted(text: str) -> str:
@@ -57,4 +65,4 @@ def parse_number(c: Column) -> Column:
 
     Words for "none" (``N/A``, ``null``, ``-``, blank) are no numbers and give NULL.
     """
-    return F.regexp_replace(F.trim(c), "[,%£]|GBP", "").try_cast("double")
+    return _figure(F.regexp_replace(F.trim(c), "[,%£]|GBP", ""))

@@ -38,10 +38,10 @@ def control_row_count(tape: DataFrame, dim: DataFrame, distinct_loans: bool = Tr
 
 
 def control_balance(tape: DataFrame, fact: DataFrame) -> DataFrame:
-    """Staged balance against mart balance, tolerance 0.01."""
+    """Staged balance against mart balance, tolerance 0.01; a deal that one side lacks has 0 there."""
     staged = tape.groupBy("DealID").agg(F.sum(F.col("AR67").try_cast("decimal(18,2)")).alias("s"))
     mart = fact.groupBy("DealID").agg(F.sum("CurrentBalance").alias("m"))
-    both = staged.join(mart, "DealID").filter(F.abs(F.col("s") - F.col("m")) > 0.01)
+    both = staged.join(mart, "DealID", "full").na.fill(0, ["s", "m"]).filter(F.abs(F.col("s") - F.col("m")) > 0.01)
     return _exception(both, "BALANCE_MISMATCH", F.col("s"), F.col("m"), (F.col("s") - F.col("m")).cast("decimal(38,2)"))
 
 

@@ -1,15 +1,14 @@
 """Group operators that stay even when one key holds a large part of all rows.
 
 A window over a hot key sorts the whole group in one task.  These operators get the same answer
-from partial aggregates plus a join (which AQE splits when a key is skewed), or from windows over
-sub-groups of bounded size.
+from partial aggregates plus a join, which AQE turns into a broadcast where the aggregate is small and
+splits where a key is skewed.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 
@@ -23,37 +22,6 @@ def pick_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column]) -> Dat
     return df.withColumn("_rank", F.row_number().over(window)).filter("_rank = 1").drop("_rank")
 
 
-def join_small(df: DataFrame, small: DataFrame, keys: Sequence[str], how: str = "left", most: int = 1_000_000) -> DataFrame:
-    """Join an aggregate that is expected to be small, without shuffling ``df`` on a possibly hot key.
-
-    The aggregate is counted first: up to ``most`` rows it is broadcast, beyond that both sides are
-    shuffled and AQE splits skewed keys.  It is kept for the join, so it is computed once.
-    """
-    small = small.persist(StorageLevel.MEMORY_AND_DISK)
-    if small.limit(most + 1).count() <= most:
-        return df.join(F.broadcast(small), list(keys), how)
-    return df.join(small, list(keys), how)
-
-
 def with_totals(df: DataFrame, keys: Sequence[str], **totals: Column) -> DataFrame:
     """Add per-key aggregates to every row: aggregate map-side first, then join back."""
-    return join_small(df, df.groupBy(*keys).agg(*[c.alias(n) for n, c in totals.items()]), keys)
-
-
-def next_in_group(
-    df: DataFrame, group: Sequence[str], bucket: Sequence[str], order: Sequence[str], take: Sequence[str]
-) -> DataFrame:
-    """``lead`` over ``group`` ordered by ``bucket`` then ``order``, without sorting a whole group.
-
-    ``bucket`` are the leading sort columns; they must have a bounded number of values per group.
-    Neighbours inside a bucket come from a window over that bucket, the neighbour across a bucket
-    border is the first row of the following bucket (one row per bucket).  Adds struct ``_next``.
-    """
-    buckets = [*group, *bucket]
-    inside = Window.partitionBy(*bucket, *group).orderBy(*order)
-    rows = df.withColumn("_in", F.lead(F.struct(*take)).over(inside))
-    heads = df.groupBy(*buckets).agg(F.min(F.struct(*order, *[F.col(c).alias(f"_t_{c}") for c in take])).alias("_head"))
-    across = Window.partitionBy(*group).orderBy(*bucket)
-    head = F.struct(*[F.col(f"_head._t_{c}").alias(c) for c in take])
-    heads = heads.select(*buckets, F.lead(head).over(across).alias("_out"))
-    return rows.join(heads, buckets, "left").withColumn("_next", F.coalesce("_in", "_out")).drop("_in", "_out")
+    return df.join(df.groupBy(*keys).agg(*[c.alias(n) for n, c in totals.items()]), list(keys), "left")

@@ -108,12 +108,17 @@ def arrears_migration_periods(fact: DataFrame) -> DataFrame:
     return _migration(pairs, ["DealID", "CutoffDate"])
 
 
+def _month(d: Column) -> Column:
+    return F.year(d) * 12 + F.month(d)
+
+
 def time_intelligence(monthly: DataFrame, value: str) -> DataFrame:
     """Prior period, same month a year ago and year to date of a monthly figure per deal."""
     series = Window.partitionBy("DealID").orderBy("CutoffDate")
     year = Window.partitionBy("DealID", F.year("CutoffDate")).orderBy("CutoffDate").rowsBetween(Window.unboundedPreceding, 0)
-    year_ago = monthly.select(
-        "DealID", F.last_day(F.add_months("CutoffDate", 12)).alias("CutoffDate"), F.col(value).alias("YearAgo")
+    # the same month whatever the day; of several cut-offs in it the last
+    year_ago = monthly.groupBy("DealID", _month(F.add_months("CutoffDate", 12)).alias("_month")).agg(
+        F.max_by(value, "CutoffDate").alias("YearAgo")
     )
     return (
         monthly.select(
@@ -122,5 +127,7 @@ def time_intelligence(monthly: DataFrame, value: str) -> DataFrame:
             F.lag(value).over(series).alias("PriorPeriod"),
             F.sum(value).over(year).alias("YearToDate"),
         )
-        .join(year_ago, ["DealID", "CutoffDate"], "left")
+        .withColumn("_month", _month(F.col("CutoffDate")))
+        .join(year_ago, ["DealID", "_month"], "left")
+        .drop("_month")
     )

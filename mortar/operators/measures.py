@@ -97,8 +97,8 @@ def psa_equivalent(history: DataFrame, loans: DataFrame, by: Sequence[str]) -> D
     """Reported one-month CPR against the standard ramp at the pool's seasoning."""
     cpr = evaluate(history, history_measures(), ["CPR_1M"], by)
     age = evaluate(loans, loan_measures(), ["WA_Seasoning"], by)
-    ramp = F.least(F.lit(0.2) * F.col("WA_Seasoning"), F.lit(6.0))
-    return cpr.join(age, list(by)).withColumn("PSA", divide(F.col("CPR_1M"), ramp) * 100)
+    ramp = F.when(F.col("WA_Seasoning").isNotNull(), F.least(F.lit(0.2) * F.col("WA_Seasoning"), F.lit(6.0)))
+    return cpr.join(age, list(by), "left").withColumn("PSA", divide(F.col("CPR_1M"), ramp) * 100)
 
 
 def kpi_latest_period(pool: DataFrame, by: Sequence[str] = (), where: Column | None = None) -> DataFrame:

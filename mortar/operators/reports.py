@@ -92,11 +92,11 @@ class PageColumns:
         return made.groupBy(*FILE).agg(*[c.alias(n) for n, c in self.file.items()])
 
 
-def _date_columns(page: PageColumns, cutoff_pages: int) -> None:
-    text, early = F.col("text"), F.col("page_no") <= cutoff_pages
-    named = early & text.contains("Reporting Period End Date")
+def _date_columns(page: PageColumns) -> None:
+    text = F.col("text")
+    named = text.contains("Reporting Period End Date")
     page.raw["named"] = F.when(named, F.regexp_extract(text, PERIOD_END, 1))
-    page.raw["any_date"] = F.when(early, F.regexp_extract("low", ANY_DATE, 0))
+    page.raw["any_date"] = F.regexp_extract("low", ANY_DATE, 0)
     written = [F.try_to_date(F.nullif("named", F.lit("")), f) for f in ("d-MMM-yyyy", "d/MMM/yyyy", "d-MMMM-yyyy")]
     parts = F.split("any_date", "[-/]")
     day, month, year = [F.get(parts, F.lit(i)) for i in range(3)]
@@ -147,7 +147,7 @@ def _metric_columns(page: PageColumns) -> None:
         page.file[name] = F.coalesce(page.first(name), F.when(F.max(f"{name}_zero"), F.lit(0.0)))
 
 
-def _note_columns(page: PageColumns, note_pages: int) -> None:
+def _note_columns(page: PageColumns) -> None:
     text = F.col("text")
     lines = F.split(text, "\n")
     figures = lambda line, p: F.transform(F.regexp_extract_all(line, F.lit(p), F.lit(1)), parse_number)
@@ -168,7 +168,7 @@ def _note_columns(page: PageColumns, note_pages: int) -> None:
     large = F.transform(
         F.filter(lines, isin_row), lambda line: F.filter(figures(line, NOTE_NUMBERS), lambda x: x > NOTE_MINIMUM)
     )
-    here = (F.col("page_no") <= note_pages) & text.contains("Class A")
+    here = text.contains("Class A")
     page.raw["isin_figures"] = F.when(here, F.get(F.filter(large, lambda x: F.size(x) > 0), F.lit(0)))
     rows = F.transform(F.filter(lines, table_row), lambda line: figures(line, ROW_NUMBERS))
     page.raw["table_figures"] = F.when(here & table_page, F.get(F.filter(rows, complete), F.lit(0)))
@@ -188,10 +188,10 @@ def _with_dates(files: DataFrame) -> DataFrame:
     )
 
 
-def report_dates(pages: DataFrame, cutoff_pages: int = 3) -> DataFrame:
-    """Report date from the file name, cut-off date from the first pages, else the report date."""
+def report_dates(pages: DataFrame) -> DataFrame:
+    """Report date from the file name, cut-off date from the first page that has one, else the report date."""
     page = PageColumns()
-    _date_columns(page, cutoff_pages)
+    _date_columns(page)
     return _with_dates(page.per_file(pages)).select(*FILE, "ReportDate", "CutoffDate")
 
 
@@ -202,14 +202,14 @@ def pool_metrics(pages: DataFrame) -> DataFrame:
     return page.per_file(pages)
 
 
-def note_balances(pages: DataFrame, note_pages: int = 10) -> DataFrame:
-    """Class A balance, and factor where reported, from the lines of the note pages.
+def note_balances(pages: DataFrame) -> DataFrame:
+    """Class A balance, and factor where reported, from the lines of all pages.
 
     Two layouts: a line with an ISIN and a currency (second large figure, else the only one), or a
     five-figure row of a principal table.  Earlier pages win, then the first layout, then earlier lines.
     """
     page = PageColumns()
-    _note_columns(page, note_pages)
+    _note_columns(page)
     return page.per_file(pages).filter("ClassA_Balance IS NOT NULL")
 
 
@@ -230,15 +230,15 @@ def class_a_ratios(notes: DataFrame, config: DataFrame) -> DataFrame:
     return _with_ratios(notes, config).select(*FILE, "ClassA_Balance", "CE_ClassA", "Factor_ClassA")
 
 
-def report_metrics(pages: DataFrame, config: DataFrame, cutoff_pages: int = 3, note_pages: int = 10) -> DataFrame:
+def report_metrics(pages: DataFrame, config: DataFrame) -> DataFrame:
     """One row per deal and cut-off; files without a cut-off are dropped, the first file name wins.
 
     Dates, pool metrics and notes are taken in one pass over the pages and one shuffle by file.
     """
     page = PageColumns()
-    _date_columns(page, cutoff_pages)
+    _date_columns(page)
     _metric_columns(page)
-    _note_columns(page, note_pages)
+    _note_columns(page)
     files = _with_dates(page.per_file(select_reports(pages, config))).filter("CutoffDate IS NOT NULL")
     rows = _with_ratios(files, config).withColumnRenamed("deal_id", "DealID")
     return keep_first(rows, ["DealID", "CutoffDate"], "file_name").select(

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from mortar.functions.averages import divide, half_even
 from mortar.functions.casts import decode
-from mortar.operators.grouping import join_small, next_in_group, with_totals
+from mortar.operators.grouping import with_totals
 from mortar.sources.seeds import (
     CAPITAL_RATIO,
     FLOOR_WEIGHT,
@@ -168,22 +168,30 @@ def tranche_row_checks(notes: DataFrame) -> DataFrame:
 def structure_checks(notes: DataFrame) -> DataFrame:
     """Overlapping neighbours, senior count other than one, senior not reaching the top.
 
-    Neighbours are found by attachment (ties by a digest of the note id).  A deal of any size is
-    cut into sub-groups by attachment point and the digest's first digit.
+    Neighbours are found by attachment.  Of tranches that share an attachment the one with the last id is
+    next to the following attachment's first, and next to all others.  So only attachment points are put
+    in order, however many tranches a point has.
     """
-    keyed = notes.select(*DEAL, "NoteID", "Seniority", "Attachment", "Detachment", F.md5("NoteID").alias("_md5"))
-    keyed = keyed.withColumn("_slot", F.substring("_md5", 1, 1))
-    neighbours = next_in_group(keyed, DEAL, ["Attachment", "_slot"], ["_md5", "NoteID"], ["NoteID", "Attachment"])
+    points = notes.groupBy(*DEAL, "Attachment").agg(F.min("NoteID").alias("_first"), F.max("NoteID").alias("_last"))
+    order = Window.partitionBy(*DEAL).orderBy("Attachment")
+    points = points.withColumns({"_next": F.lead("_first").over(order), "_at": F.lead("Attachment").over(order)})
+    last = F.col("NoteID") == F.col("_last")
+    neighbours = notes.join(points, [*DEAL, "Attachment"]).withColumns(
+        {
+            "_partner": F.when(last, F.col("_next")).otherwise(F.col("_last")),
+            "_from": F.when(last, F.col("_at")).otherwise(F.col("Attachment")),
+        }
+    )
     check = lambda df, name, detail: df.select(*DEAL, F.lit(name).alias("check_name"), detail.alias("detail"))
     overlap = check(
-        neighbours.filter(F.col("Detachment") > F.col("_next.Attachment")),
-        "OVERLAP", F.concat_ws(" / ", "NoteID", "_next.NoteID"),
+        neighbours.filter(F.col("Detachment") > F.col("_from")),
+        "OVERLAP", F.concat_ws(" / ", "NoteID", "_partner"),
     )
     per_deal = notes.groupBy(*DEAL).agg(
         F.count_if(F.col("Seniority") == SENIOR).alias("seniors"), F.max("Detachment").alias("top")
     )
     count = check(per_deal.filter("seniors <> 1"), "SENIOR_COUNT", F.col("seniors").cast("string"))
-    low = join_small(notes.filter(F.col("Seniority") == SENIOR), per_deal, DEAL, "inner").filter(F.col("Detachment") != F.col("top"))
+    low = notes.filter(F.col("Seniority") == SENIOR).join(per_deal, DEAL).filter(F.col("Detachment") != F.col("top"))
     return reduce(DataFrame.unionByName, [overlap, count, check(low, "SENIOR_NOT_TOP", F.col("NoteID"))])
 
 

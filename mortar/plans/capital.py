@@ -187,9 +187,11 @@ register(
     "structure_checks",
     lambda x: rwa.structure_checks(x.notes()),
     query(
-        f"""SELECT {G}, 'OVERLAP' AS check_name, NoteID || ' / ' || next_id AS detail FROM (SELECT *,
- lead(NoteID) OVER w AS next_id, lead(Attachment) OVER w AS next_att FROM notes
- WINDOW w AS (PARTITION BY {G} ORDER BY Attachment, md5(NoteID), NoteID)) WHERE Detachment > next_att
+        f"""SELECT {G}, 'OVERLAP' AS check_name, NoteID || ' / ' || partner AS detail FROM (
+ SELECT n.*, CASE WHEN n.NoteID = p.l THEN p.nf ELSE p.l END AS partner, CASE WHEN n.NoteID = p.l THEN p.na ELSE n.Attachment END AS border
+ FROM notes n JOIN (SELECT *, lead(f) OVER w AS nf, lead(Attachment) OVER w AS na FROM
+  (SELECT {G}, Attachment, min(NoteID) AS f, max(NoteID) AS l FROM notes GROUP BY {G}, Attachment)
+  WINDOW w AS (PARTITION BY {G} ORDER BY Attachment)) p USING ({G}, Attachment)) WHERE Detachment > border
  UNION ALL SELECT {G}, 'SENIOR_COUNT', CAST(count(CASE WHEN Seniority = 'senior' THEN 1 END) AS VARCHAR) FROM notes GROUP BY {G}
  HAVING count(CASE WHEN Seniority = 'senior' THEN 1 END) <> 1
  UNION ALL SELECT {G}, 'SENIOR_NOT_TOP', NoteID FROM

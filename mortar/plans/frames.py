@@ -8,7 +8,6 @@ from weakref import WeakKeyDictionary
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from mortar.operators import prep, star
-from mortar.session import tune
 from mortar.sources import sample_tape
 
 #: per session: analysed (still lazy) source frames, so that a query does not rebuild the tape's plan
@@ -22,7 +21,6 @@ class Frames:
         self.spark, self.sf_dir = spark, sf_dir
         if spark not in _KNOWN:
             _KNOWN[spark] = {}
-            tune(spark)
 
     def _once(self, name: str, build) -> DataFrame:
         known = _KNOWN[self.spark]
@@ -30,8 +28,8 @@ class Frames:
             known[name, self.sf_dir] = build()
         return known[name, self.sf_dir]
 
-    def tape(self, region: bool = False) -> DataFrame:
-        return self._once(f"tape {region}", lambda: sample_tape.loan_tape(self.spark, self.sf_dir, region))
+    def tape(self) -> DataFrame:
+        return self._once("tape", lambda: sample_tape.loan_tape(self.spark, self.sf_dir))
 
     def raw(self) -> DataFrame:
         return sample_tape.raw_tape(self.spark, self.sf_dir)
@@ -39,16 +37,14 @@ class Frames:
     def fact(self) -> DataFrame:
         return self._once("fact", lambda: star.fact_loan_period(self.tape()))
 
-    def dim(self, region: bool = True) -> DataFrame:
-        return self._once(f"dim {region}", lambda: star.dim_loan(self.tape(region)))
+    def dim(self) -> DataFrame:
+        return self._once("dim", lambda: star.dim_loan(self.tape()))
 
     def star(self, *columns: str) -> DataFrame:
-        return star.star_join(self.fact(), self.dim("Region" in columns), list(columns))
+        return star.star_join(self.fact(), self.dim(), list(columns))
 
-    def loans(self, region: bool = False, tape_keys: Sequence[str] | None = None) -> DataFrame:
-        return self._once(
-            f"loans {region} {tape_keys}", lambda: prep.prep_loans(self.tape(region), tape_keys)
-        )
+    def loans(self, tape_keys: Sequence[str] | None = None) -> DataFrame:
+        return self._once(f"loans {tape_keys}", lambda: prep.prep_loans(self.tape(), tape_keys))
 
     def exits(self) -> DataFrame:
         return prep.prep_exits(prep.exits_sheet(self.tape()))

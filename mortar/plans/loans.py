@@ -312,7 +312,7 @@ register(
     "measure_sliced",
     lambda x: present(
         measures.evaluate(
-            x.loans(True), measures.loan_measures(), _SLICED, ["CutoffDate", "Region", "IsBTL"],
+            x.loans(), measures.loan_measures(), _SLICED, ["CutoffDate", "Region", "IsBTL"],
             (F.col("DealID") == "AVON2") & F.col("LTVBand").isin("70-80%", "80-90%"),
         )
     ),

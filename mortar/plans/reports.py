@@ -54,7 +54,7 @@ _ANY = (
 )
 DATES = f"""dates AS (SELECT deal_id, file_name, {REPORT_DATE} AS ReportDate, COALESCE(found, {REPORT_DATE}) AS CutoffDate FROM
  (SELECT deal_id, file_name, arg_min(hit, page_no) FILTER (WHERE hit IS NOT NULL) AS found FROM
-  (SELECT deal_id, file_name, page_no, CASE WHEN page_no <= 3 THEN COALESCE({_WRITTEN}, {_ANY}) END AS hit FROM chosen)
+  (SELECT deal_id, file_name, page_no, COALESCE({_WRITTEN}, {_ANY}) AS hit FROM chosen)
   GROUP BY deal_id, file_name))"""
 
 _ROWS = f"regexp_extract_all(text, {_q(reports.ARREARS_ROWS)}, 4)"
@@ -88,7 +88,7 @@ METRICS = (
 _LARGE = f"list_filter(list_transform(regexp_extract_all(line, {_q(reports.NOTE_NUMBERS)}, 1), lambda t: {_num('t')}), lambda v: v > 1000000)"
 _CELLS = f"list_transform(regexp_extract_all(line, {_q(reports.ROW_NUMBERS)}, 1), lambda t: {_num('t')})"
 NOTE_ROWS = f"""note_lines AS (SELECT deal_id, file_name, page_no, text, unnest(string_split(text, chr(10))) AS line,
- generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM chosen WHERE page_no <= 10),
+ generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM chosen),
 isin_rows AS (SELECT deal_id, file_name, page_no, 1 AS layout, line_no, COALESCE({_LARGE}[2], {_LARGE}[1]) AS value, NULL::DOUBLE AS factor
  FROM note_lines WHERE line LIKE '%Class A%' AND line LIKE '%XS%' AND line LIKE '%GBP%' AND line NOT LIKE '%Class B%' AND line NOT LIKE '%Notes%'),
 table_rows AS (SELECT deal_id, file_name, page_no, 2 AS layout, line_no, {_CELLS}[4] AS value, {_CELLS}[5] AS factor FROM note_lines

@@ -36,6 +36,50 @@ register(
 )
 
 
+def _tape_from_files(x: Frames):
+    """The raw tape written as files of three layouts, read by header name and staged."""
+    folder = work_folder(x.spark, "tapes")
+    raw = x.raw().filter("NOT FirstRow").drop("FirstRow")
+    part = F.pmod(F.xxhash64("AR3 Loan Identifier", "AR1"), F.lit(3))
+    layouts = {
+        "as-made": (part == 0, raw.columns),
+        "reversed": ((part == 1) | ((part == 2) & (F.col("DealID") != "AVON2")), raw.columns[::-1]),
+        "one-field-less": ((part == 2) & (F.col("DealID") == "AVON2"), [c for c in raw.columns if c != "AR123"]),
+    }
+    paths = [f"{folder}/{name}" for name in layouts]
+    for path, (rows, columns) in zip(paths, layouts.values()):
+        tp.write_csv(raw.filter(rows).select(*[F.col(f"`{c}`") for c in columns]), path)
+    return tp.stage_tape(tp.read_tape(x.spark, paths, "*.csv"))
+
+
+register("read_tape_files", _tape_from_files, query(f"SELECT {', '.join(LOAN_FIELDS)} FROM tape", TAPE))
+
+
+def _malformed(x: Frames):
+    """Tape rows of which some have a cell too many, written without quotes and read back."""
+    folder = work_folder(x.spark, "malformed")
+    extra = F.when(F.col("AR3").cast("bigint") % 50 == 0, "SERV,more").otherwise("SERV")
+    rows = x.tape().select("DealID", "AR1", "AR3", extra.alias("AR6"))
+    rows.write.option("header", True).option("quote", "").csv(folder)
+    read = tp.read_tape(x.spark, folder, "*.csv")
+    return present(
+        read.groupBy("DealID").agg(
+            F.count("*").alias("Rows"), F.count_if(F.col(tp.MALFORMED).isNotNull()).alias("MalformedRows")
+        )
+    )
+
+
+register(
+    "control_malformed_rows",
+    _malformed,
+    query(
+        f"SELECT DealID, count(*) AS Rows, {n('count(CASE WHEN CAST(AR3 AS BIGINT) % 50 = 0 THEN 1 END)')} AS MalformedRows"
+        " FROM tape GROUP BY DealID",
+        TAPE,
+    ),
+)
+
+
 def _tape_files(x: Frames):
     """Files the tapes came in: one per deal and month, the last month of one pool was sent again."""
     again = (F.col("AR2") == "POOL0") & (F.col("AR1") == "2002-02-28")
@@ -64,12 +108,13 @@ register(
 
 
 def _staging_roundtrip(x: Frames):
-    """Stage both deals, replace one deal's slice, append nothing to the other, read back and count."""
+    """Stage one half of all fields, append the other, replace one deal's slice, read back and count."""
     path = work_folder(x.spark, "staging")
-    fields = ["AR1", "AR3", "AR67"]
-    rows = x.tape().select("DealID", *fields)
-    tp.write_staging(rows, path)
-    tp.write_staging(rows.filter("DealID = 'AVON2'"), path)
+    fields = LOAN_FIELDS[1:]
+    rows = x.tape().withColumn("half", F.pmod(F.xxhash64("AR3", "AR1"), F.lit(2)))
+    tp.write_staging(rows.filter("half = 0").drop("half"), path)
+    tp.write_staging(rows.filter("half = 1").drop("half"), path, append=True)
+    tp.write_staging(rows.filter("DealID = 'AVON2'").drop("half"), path)
     back = tp.read_staging(x.spark, path, fields)
     return present(
         back.groupBy("DealID", "AR1").agg(
@@ -92,7 +137,7 @@ for _name, _field in seeds.REF_FIELDS.items():
 
     def _usage(x: Frames, name=_name, field=_field):
         """The code list with the number of tape rows that carry each code."""
-        used = x.tape(field == "AR128").groupBy(field).agg(F.count("*").alias("TapeRows"))
+        used = x.tape().groupBy(field).agg(F.count("*").alias("TapeRows"))
         ref = seeds.ref_table(x.spark, name)
         joined = ref.join(used, F.col("code") == F.col(field), "left")
         return joined.select("code", "label", F.coalesce("TapeRows", F.lit(0)).alias("TapeRows"))
@@ -113,7 +158,7 @@ _SPELLED = ["SW1A 2AA", "M15", "L1 8JQ", "EH3", "UKI", "ZZ9"]
 
 def _spelled(x: Frames):
     words = F.array(*[F.lit(w) for w in _SPELLED])
-    rows = x.tape(True).filter("AR3 IS NOT NULL")
+    rows = x.tape().filter("AR3 IS NOT NULL")
     at = F.pmod(F.col("AR3").cast("bigint"), F.lit(7)).cast("int")
     return rows.withColumn("AR128", F.when(at < 6, F.get(words, at)).otherwise(F.col("AR128")))
 
@@ -156,7 +201,7 @@ for _fmt in cf.FORMATS:
     _short = {"AVON2": "avon", "BLETCHLEY": "bletchley"}[_fmt.deal_id]
     register(
         f"conform_{_short}_dim_loan",
-        lambda x, fmt=_fmt: present(cf.conform_dim_loan(x.tape(True), fmt)),
+        lambda x, fmt=_fmt: present(cf.conform_dim_loan(x.tape(), fmt)),
         query(
             f"SELECT {shown(cf.DIM_PLAIN, cf.DIM_DECODED)} FROM c", TAPE, REFS,
             conformed("c", _fmt, cf.DIM_PLAIN, cf.DIM_DECODED, True),
@@ -174,7 +219,7 @@ for _fmt in cf.FORMATS:
 register(
     "conform_extended_dim",
     lambda x: present(
-        cf.conform_extended_dim(x.tape(True), cf.AVON).unionByName(cf.conform_extended_dim(x.tape(True), cf.BLETCHLEY))
+        cf.conform_extended_dim(x.tape(), cf.AVON).unionByName(cf.conform_extended_dim(x.tape(), cf.BLETCHLEY))
     ),
     query(
         " UNION ALL ".join(
@@ -306,29 +351,29 @@ CONTROL_SQL = {
     + " FROM fact WHERE CurrentBalance < 0 GROUP BY DealID",
 }
 _CONTROLS = {
-    "control_row_count": lambda x: controls.control_row_count(x.tape(), x.dim(False)),
+    "control_row_count": lambda x: controls.control_row_count(x.tape(), x.dim()),
     "control_balance": lambda x: controls.control_balance(x.tape(), x.fact()),
-    "control_null_loan_id": lambda x: controls.control_null_loan_id(x.dim(False)),
+    "control_null_loan_id": lambda x: controls.control_null_loan_id(x.dim()),
     "control_null_balance": lambda x: controls.control_null_balance(x.fact()),
-    "control_orphans": lambda x: controls.control_orphans(x.fact(), x.dim(False)),
+    "control_orphans": lambda x: controls.control_orphans(x.fact(), x.dim()),
     "control_negative_balance": lambda x: controls.control_negative_balance(x.fact()),
 }
 for _name, _build in _CONTROLS.items():
     register(_name, _build, query(CONTROL_SQL[_name], TAPE, DIM, FACT))
 register(
     "controls_all",
-    lambda x: controls.controls_all(x.tape(), x.dim(False), x.fact()),
+    lambda x: controls.controls_all(x.tape(), x.dim(), x.fact()),
     query(" UNION ALL ".join(f"({sql})" for sql in CONTROL_SQL.values()), TAPE, DIM, FACT),
 )
 register(
     "control_row_count_as_coded",
-    lambda x: controls.control_row_count(x.tape(), x.dim(False), distinct_loans=False),
+    lambda x: controls.control_row_count(x.tape(), x.dim(), distinct_loans=False),
     query(CONTROL_SQL["control_row_count"].replace("SELECT DISTINCT DealID, AR3", "SELECT DealID, AR3"), TAPE, DIM),
 )
 register(
     "control_unique_keys",
     lambda x: controls.control_unique_keys(x.fact(), ["DealID", "LoanID", "CutoffDate"], "fact_loan_period").unionByName(
-        controls.control_unique_keys(x.dim(False), ["DealID", "LoanID"], "dim_loan")
+        controls.control_unique_keys(x.dim(), ["DealID", "LoanID"], "dim_loan")
     ),
     query(
         "SELECT 'DUPLICATE_KEY' AS check_name, DealID, '0' AS expected, CAST(count(*) AS VARCHAR) AS actual,"
@@ -353,7 +398,7 @@ register(
     "prep_loans",
     lambda x: present(
         prep.prep_loans(
-            x.tape(True).withColumn("TapeID", F.concat("DealID", F.lit("_"), F.substring("AR1", 1, 7))), ["TapeID"]
+            x.tape().withColumn("TapeID", F.concat("DealID", F.lit("_"), F.substring("AR1", 1, 7))), ["TapeID"]
         )
     ),
     query(
@@ -448,10 +493,11 @@ register(
 
 
 def _stream_upsert(x: Frames):
-    """Orders arrive as files, become loan rows and are merged by key; the merged table is summed up."""
+    """Orders arrive in several files, one a batch, become loan rows and are merged by key; the result is summed up."""
     log, checkpoint = work_folder(x.spark, "tape-log"), work_folder(x.spark, "tape-checkpoint")
-    schema = x.spark.read.parquet(f"{x.sf_dir}/orders.parquet").schema
-    source = x.spark.readStream.schema(schema).option("pathGlobFilter", "orders*.parquet").parquet(x.sf_dir)
+    orders, arrived = x.spark.read.parquet(f"{x.sf_dir}/orders.parquet"), work_folder(x.spark, "arrived")
+    orders.repartition(4, "o_orderdate").write.parquet(arrived)
+    source = x.spark.readStream.schema(orders.schema).option("maxFilesPerTrigger", 1).parquet(arrived)
     deal = F.when(F.col("o_orderkey") % 2 == 0, "AVON2").otherwise("BLETCHLEY")
     rows = source.select(
         deal.alias("DealID"), F.col("o_custkey").alias("BorrowerID"), F.col("o_orderkey").alias("Delivery"),
@@ -459,7 +505,7 @@ def _stream_upsert(x: Frames):
         F.round(F.col("o_totalprice") * 100).cast("bigint").alias("Cents"),
     )
     stream.land_batches(rows, log, checkpoint)
-    current = stream.current_rows(x.spark, log, ["DealID", "BorrowerID", "CutoffDate"], "Delivery")
+    current = stream.current_rows(x.spark, log, ["DealID", "BorrowerID", "CutoffDate"], "Delivery", by_batch=False)
     return current.groupBy("DealID", "CutoffDate").agg(F.count("*").alias("Rows"), F.sum("Cents").alias("Cents"))
 
 

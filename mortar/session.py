@@ -6,7 +6,7 @@ import os
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import SparkSession
 
 #: Settings every job wants.  A cluster keeps its own shuffle partition count;
 #: AQE coalesces it downwards and splits skewed join partitions.
@@ -24,13 +24,6 @@ DEFAULTS = {
 }
 
 
-def tune(spark: SparkSession) -> SparkSession:
-    """Apply the settings above to a session somebody else made."""
-    for key, value in DEFAULTS.items():
-        spark.conf.set(key, value)
-    return spark
-
-
 def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str = "mortar") -> SparkSession:
     """Session for tests and the bench; on a cluster pass your own session instead."""
     builder = (
@@ -51,22 +44,12 @@ def local_session(cores: int | str = "*", shuffle_partitions: int = 8, app: str
 def work_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below the cluster's shared ``spark.checkpoint.dir``.
 
-    Only where the setting is absent (tests on one machine) a temporary folder is used.
+    Only on one machine (tests), where driver and tasks see the same disk, an unset folder is chosen here.
     """
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
+        if not spark.sparkContext.master.startswith("local["):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         shared = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", shared)
     return f"{shared.rstrip('/')}/{name}-{uuid.uuid4().hex}"
-
-
-def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Spread a scan over the cores when it has fewer splits than there are cores.
-
-    A scan of many files already has enough tasks and is returned untouched, so no
-    shuffle is added at scale.  Pass only plans without a shuffle in them.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, *keys)

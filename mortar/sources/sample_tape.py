@@ -10,7 +10,6 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from mortar.session import spread
 
 DIALECT = {
     "spark": {
@@ -178,7 +177,7 @@ def _periods(spark: SparkSession, sf_dir: str, region: bool) -> DataFrame:
         "CAST(ROUND(o_totalprice * 100) AS BIGINT) AS cents",
         "CAST(o_orderdate AS DATE) AS odate",
     )
-    orders = spread(orders, "k")
+    orders = orders.repartition("k")  # one input file is one task otherwise
     if region:
         customer = spark.read.parquet(f"{sf_dir}/customer.parquet").selectExpr("c_custkey AS custkey", "c_nationkey")
         nation = spark.read.parquet(f"{sf_dir}/nation.parquet").selectExpr("n_nationkey AS c_nationkey", "n_nationkey AS nk")
@@ -186,24 +185,18 @@ def _periods(spark: SparkSession, sf_dir: str, region: bool) -> DataFrame:
     return orders.withColumn("p", F.explode(F.sequence(F.lit(0), F.lit(5))))
 
 
-def _loan_periods(spark: SparkSession, sf_dir: str, region: bool) -> DataFrame:
+def _loan_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     d = DIALECT["spark"]
-    df = _periods(spark, sf_dir, region).selectExpr("*", f"{d['orig']} AS orig", f"{d['cutoff']} AS cutoff")
+    df = _periods(spark, sf_dir, True).selectExpr("*", f"{d['orig']} AS orig", f"{d['cutoff']} AS cutoff")
     for stage in LOAN_INTEGERS:
         df = df.selectExpr("*", *[f"{_sql(rule, 'spark')} AS {name}" for name, rule in stage.items()])
     return df
 
 
-def loan_tape(spark: SparkSession, sf_dir: str, region: bool = True) -> DataFrame:
-    """The staged tape: ``DealID`` and ``AR*`` columns, all text, nulls already nulled.
-
-    ``region=False`` leaves ``AR128`` null and saves the customer join for plans that
-    never look at the region.
-    """
+def loan_tape(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The staged tape: ``DealID`` and ``AR*`` columns, all text, nulls already nulled."""
     fields = loan_fields("spark")
-    if not region:
-        fields["AR128"] = "CAST(NULL AS STRING)"
-    return _loan_periods(spark, sf_dir, region).selectExpr(*[f"{rule} AS {name}" for name, rule in fields.items()])
+    return _loan_periods(spark, sf_dir).selectExpr(*[f"{rule} AS {name}" for name, rule in fields.items()])
 
 
 def raw_tape(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -217,17 +210,17 @@ def raw_tape(spark: SparkSession, sf_dir: str) -> DataFrame:
             f"CASE WHEN kind = 1 THEN {described} WHEN kind = 2 THEN NULL ELSE {value} END"
             f" AS `{RAW_HEADERS.get(field, field)}`"
         )
-    out.append("CASE WHEN kind = 0 THEN 'x' END AS EXTRA1")
+    out += ["CASE WHEN kind = 0 THEN 'x' END AS EXTRA1", "kind = 1 AS FirstRow"]
     fields = loan_fields("spark")
     return (
-        _loan_periods(spark, sf_dir, True)
+        _loan_periods(spark, sf_dir)
         .selectExpr(*[f"{rule} AS {name}" for name, rule in fields.items()], f"{RAW_KIND} AS kinds")
         .selectExpr("*", "explode(kinds) AS kind")
         .selectExpr(*out)
     )
 
 
-#: every 1201st loan is preceded by a description row, every 1301st by a blank row
+#: every 1201st loan begins a file with a description row, every 1301st follows a blank row
 RAW_KIND = "CASE WHEN k % 1201 = 7 THEN array(0, 1) WHEN k % 1301 = 9 THEN array(0, 2) ELSE array(0) END"
 
 
@@ -334,15 +327,12 @@ REPORTED_FIELDS = {
 
 def reported_history(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reported pool metrics; the same key is delivered again and again (``Delivery`` orders them)."""
-    df = spread(
-        spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
-            "o_orderkey AS k",
-            "o_custkey AS custkey",
-            "CAST(ROUND(o_totalprice * 100) AS BIGINT) AS cents",
-            "last_day(CAST(o_orderdate AS DATE)) AS cutoff",
-        ),
-        "k",
-    )
+    df = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
+        "o_orderkey AS k",
+        "o_custkey AS custkey",
+        "CAST(ROUND(o_totalprice * 100) AS BIGINT) AS cents",
+        "last_day(CAST(o_orderdate AS DATE)) AS cutoff",
+    ).repartition("k")
     return df.selectExpr(*[f"{_sql(rule, 'spark')} AS {name}" for name, rule in REPORTED_FIELDS.items()])
 
 
@@ -411,26 +401,29 @@ def _page_text(dialect: str) -> dict[str, str]:
     return {key: _sql(rule.replace("{nl}", newline), dialect) for key, rule in pages.items()}
 
 
-_PAGE_NO = "CASE page_no WHEN 1 THEN cover WHEN 2 THEN pool WHEN 3 THEN arrears WHEN 4 THEN notes END"
+#: some reports begin with this many pages of other matter
+_FRONT = "(CASE WHEN k % 7 = 5 THEN 10 ELSE 0 END)"
+_PAGE_NO = (
+    f"CASE page_no - {_FRONT} WHEN 1 THEN cover WHEN 2 THEN pool WHEN 3 THEN arrears WHEN 4 THEN notes"
+    " ELSE 'Important notice' END"
+)
 
 
 def report_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Extracted page text of investor reports: one file of four pages per order."""
+    """Extracted page text of investor reports: one file per order, of four pages or fourteen."""
     text = _page_text("spark")
-    df = spread(
-        spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
-            "o_orderkey AS k",
-            "CAST(ROUND(o_totalprice * 100) AS BIGINT) AS cents",
-            "last_day(add_months(CAST(o_orderdate AS DATE), 6)) AS cutoff",
-        ),
-        "k",
-    )
+    df = spark.read.parquet(f"{sf_dir}/orders.parquet").selectExpr(
+        "o_orderkey AS k",
+        "CAST(ROUND(o_totalprice * 100) AS BIGINT) AS cents",
+        "last_day(add_months(CAST(o_orderdate AS DATE), 6)) AS cutoff",
+    ).repartition("k")
     return (
         df.selectExpr(
+            "k",
             "CASE WHEN k % 2 = 0 THEN 'AVON2' ELSE 'BLETCHLEY' END AS deal_id",
             *[f"{rule} AS {name}" for name, rule in text.items()],
         )
-        .withColumn("page_no", F.explode(F.sequence(F.lit(1), F.lit(4))))
+        .withColumn("page_no", F.explode(F.sequence(F.lit(1), F.expr(f"4 + {_FRONT}"))))
         .selectExpr("deal_id", "file_name", "page_no", f"{_PAGE_NO} AS text")
     )
 
@@ -440,7 +433,7 @@ def report_pages_sql() -> str:
     return (
         "rp0 AS (SELECT o_orderkey AS k, CAST(ROUND(o_totalprice * 100) AS BIGINT) AS cents,"
         " last_day(CAST(CAST(o_orderdate AS DATE) + to_months(6) AS DATE)) AS cutoff FROM orders),\n"
-        f"rp1 AS (SELECT CASE WHEN k % 2 = 0 THEN 'AVON2' ELSE 'BLETCHLEY' END AS deal_id, {cols},"
-        " unnest([1, 2, 3, 4]) AS page_no FROM rp0),\n"
+        f"rp1 AS (SELECT k, CASE WHEN k % 2 = 0 THEN 'AVON2' ELSE 'BLETCHLEY' END AS deal_id, {cols},"
+        f" unnest(range(1, 5 + {_FRONT})) AS page_no FROM rp0),\n"
         f"report_pages AS (SELECT deal_id, file_name, page_no, {_PAGE_NO} AS text FROM rp1)"
     )

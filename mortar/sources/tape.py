@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import csv
 import re
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from mortar.functions.casts import null_spellings
 
@@ -44,21 +47,69 @@ def clean_header(name: str) -> str:
     return f"_{plain}" if plain[:1].isdigit() else plain
 
 
-def column_for(df: DataFrame, field: str):
-    """Column whose header is the field code, alone or followed by a blank; NULL text if absent."""
-    for name in df.columns:
-        if name == field or name.startswith(f"{field} "):
-            return F.col(f"`{name}`")
-    return F.lit(None).cast("string")
+#: columns that reading adds: the row's file, whether it is the file's first, the text of a row that does not fit
+FILE, FIRST, MALFORMED = "TapeFile", "FirstRow", "Malformed"
 
 
-def read_tape(spark: SparkSession, path: str, headers: Sequence[str], pattern: str | None = None) -> DataFrame:
-    """Delimited tape files as text columns, with the file each row came from as ``TapeFile``."""
-    schema = T.StructType([T.StructField(h, T.StringType()) for h in headers])
-    reader = spark.read.schema(schema).option("header", True).option("mode", "DROPMALFORMED")
-    if pattern:
-        reader = reader.option("pathGlobFilter", pattern)
-    return reader.csv(path).withColumn("TapeFile", F.col("_metadata.file_name"))
+def _heads(spark: SparkSession, paths: Sequence[str], pattern: str | None) -> dict[str, list[list[str]]]:
+    """Header and first data row of every tape file; a folder holds the tapes of a deal, so these are few."""
+    reader = spark.read.option("pathGlobFilter", pattern) if pattern else spark.read
+    lines = reader.text(list(paths)).select(
+        F.col("_metadata.file_path").alias("path"),
+        F.col("_metadata.file_block_start").alias("at"),
+        F.monotonically_increasing_id().alias("n"),
+        "value",
+    )
+    order = Window.partitionBy("path").orderBy("n")
+    first = lines.filter("at = 0").withColumn("nth", F.row_number().over(order)).filter("nth <= 2")
+    found: dict[str, list[list[str]]] = {}
+    for r in first.orderBy("path", "nth").collect():
+        found.setdefault(r["path"], []).append(next(csv.reader([r["value"]]), []))
+    return found
+
+
+def _names(header: Sequence[str]) -> list[str]:
+    """Cleaned header names; a repeated one gets its place, so that the first of them keeps the name."""
+    names = [clean_header(h) for h in header]
+    return [n if n not in names[:i] else f"_{i}_{n}" for i, n in enumerate(names)]
+
+
+def read_tape(spark: SparkSession, paths: str | Sequence[str], pattern: str | None = None) -> DataFrame:
+    """Delimited tape files as text columns, found by header name whatever their order in a file.
+
+    Adds ``TapeFile``, ``FirstRow`` and ``Malformed``: a row with too few or too many cells is kept with its text there.
+    A column that a file lacks is NULL in its rows.
+    """
+    heads = _heads(spark, [paths] if isinstance(paths, str) else paths, pattern)
+    layouts: dict[tuple[str, ...], list[str]] = {}
+    for path, rows in heads.items():
+        layouts.setdefault(tuple(_names(rows[0])), []).append(path)
+    if not layouts:
+        raise ValueError("no tape file")
+    parts = []
+    for names, files in layouts.items():
+        schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, MALFORMED)])
+        rows = (
+            spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
+            .option("columnNameOfCorruptRecord", MALFORMED).csv(files)
+            .withColumn(FILE, F.col("_metadata.file_path"))
+        )
+        # one row a file: its first data row, told by its cells
+        known = [
+            (path, *[c or None for c in (heads[path][1] + [""] * len(names))[: len(names)]]) for path in files if len(heads[path]) > 1
+        ]
+        columns = [f"_{i}" for i in range(len(names))]
+        first = spark.createDataFrame(known, ", ".join(f"{c} string" for c in ("_file", *columns)))
+        same = reduce(lambda x, y: x & y, [F.col(n).eqNullSafe(F.col(c)) for n, c in zip(names, columns)], F.col(FILE) == F.col("_file"))
+        rows = rows.join(F.broadcast(first), same, "left").withColumn(FIRST, F.col("_file").isNotNull())
+        parts.append(rows.select(*names, MALFORMED, FILE, FIRST))
+    tape = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
+    return tape.withColumn(FILE, F.element_at(F.split(FILE, "/"), -1))
+
+
+def malformed_rows(raw: DataFrame) -> DataFrame:
+    """Rows per tape file that do not fit its header; no row when all fit."""
+    return raw.groupBy(FILE).agg(F.count_if(F.col(MALFORMED).isNotNull()).alias("MalformedRows")).filter("MalformedRows > 0")
 
 
 def read_tranches(spark: SparkSession, path: str) -> DataFrame:
@@ -66,13 +117,18 @@ def read_tranches(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(TRANCHE_SCHEMA).option("header", True).csv(path)
 
 
-def drop_description_rows(df: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Drop rows that describe the fields: more than five long or keyword cells."""
+def _describes(fields: Sequence[str]) -> Column:
+    """A file's first data row that describes the fields: more than five long or keyword cells."""
     words = "|".join(DESCRIPTION_WORDS)
     cells = F.array(*[F.col(f) for f in fields])
     keyword = F.size(F.filter(cells, lambda x: x.rlike(words)))
     long = F.size(F.filter(cells, lambda x: F.length(x) > DESCRIPTION_LENGTH))
-    return df.filter((keyword <= DESCRIPTION_MARKS) & (long <= DESCRIPTION_MARKS))
+    return F.coalesce(F.col(FIRST), F.lit(False)) & ((keyword > DESCRIPTION_MARKS) | (long > DESCRIPTION_MARKS))
+
+
+def drop_description_rows(df: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """Drop description rows at the head of files.  Without ``FirstRow`` nothing is known to be a head."""
+    return df.filter(~_describes(fields)) if FIRST in df.columns else df
 
 
 def stage_tape(raw: DataFrame, deal_id: str | None = None) -> DataFrame:
@@ -84,7 +140,7 @@ def stage_tape(raw: DataFrame, deal_id: str | None = None) -> DataFrame:
     if deal_id is not None:
         df = df.withColumn("DealID", F.lit(deal_id))
     fields = sorted((c for c in df.columns if FIELD.fullmatch(c)), key=lambda c: int(c[2:]))
-    df = drop_description_rows(df.select("DealID", *fields), fields).na.drop("all", subset=fields)
+    df = drop_description_rows(df, fields).na.drop("all", subset=fields)
     return df.select("DealID", *[null_spellings(F.col(c)).alias(c) for c in fields])
 
 
@@ -92,8 +148,7 @@ def description_rows(raw: DataFrame) -> DataFrame:
     """Raw and kept row counts per deal when description rows are dropped."""
     df = raw.toDF(*[clean_header(c) for c in raw.columns])
     fields = [c for c in df.columns if FIELD.fullmatch(c)]
-    kept = drop_description_rows(df, fields).groupBy("DealID").agg(F.count("*").alias("KeptRows"))
-    return df.groupBy("DealID").agg(F.count("*").alias("RawRows")).join(kept, "DealID", "left")
+    return df.groupBy("DealID").agg(F.count("*").alias("RawRows"), F.count_if(~_describes(fields)).alias("KeptRows"))
 
 
 def registry_check(registry: DataFrame, files: DataFrame) -> DataFrame:
@@ -120,6 +175,34 @@ def find_deal(registry: DataFrame, deal_id: str) -> DataFrame:
     return registry.filter(F.upper("DealID") == deal_id.upper())
 
 
+def resolve_tape(registry: DataFrame, folder: str, deal_id: str, period: str = "*") -> str:
+    """Path of the one tape file of a registered deal (its row is a setting, so it is read here).
+
+    Refuses an unknown or inactive deal, and a pattern that no file or more than one file matches.
+    """
+    row = find_deal(registry, deal_id).first()
+    if row is None:
+        raise ValueError(f"unknown deal {deal_id}")
+    if row["status"] != "active":
+        raise ValueError(f"deal {row['DealID']} is {row['status']}")
+    spark = registry.sparkSession
+    glob = row["tape_pattern"].replace("{period}", period)
+    try:
+        found = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder).select("path").limit(3).collect()
+    except AnalysisException:
+        found = []
+    if not found:
+        raise ValueError(f"no tape for {row['DealID']} matches {glob}")
+    if len(found) > 1:
+        raise ValueError(f"more than one tape for {row['DealID']} matches {glob}: {sorted(r['path'] for r in found)}")
+    return found[0]["path"]
+
+
+def read_deal_tape(registry: DataFrame, folder: str, deal_id: str, period: str = "*") -> DataFrame:
+    """Rows of the tape that the registry resolves to."""
+    return read_tape(registry.sparkSession, resolve_tape(registry, folder, deal_id, period))
+
+
 # ------------------------------------------------------------------ writers
 
 

@@ -28,6 +28,7 @@ def land_batches(
     query.awaitTermination()
 
 
-def current_rows(spark: SparkSession, log: str, keys: Sequence[str], *ordinal: str) -> DataFrame:
-    """Newest delivery per key."""
-    return keep_last(spark.read.parquet(log), keys, "batch", *ordinal).drop("batch")
+def current_rows(spark: SparkSession, log: str, keys: Sequence[str], *ordinal: str, by_batch: bool = True) -> DataFrame:
+    """Newest delivery per key: of the last batch, or, where rows of one key may overtake, by ``ordinal`` first."""
+    order = ("batch", *ordinal) if by_batch else (*ordinal, "batch")
+    return keep_last(spark.read.parquet(log), keys, *order).drop("batch")

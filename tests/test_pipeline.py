@@ -25,11 +25,6 @@ def test_headers():
         "AR3", "AR162", "AR1", "EXTRA1", "_2nd_col", "a_b"]
 
 
-def test_column_by_code(spark):
-    df = spark.createDataFrame([("x", "y")], "`AR3 Loan Identifier` string, AR31 string")
-    assert df.select(tp.column_for(df, "AR3"), tp.column_for(df, "AR31"), tp.column_for(df, "AR9")).first()[:] == ("x", "y", None)
-
-
 def test_stage_tape(spark):
     fields = [f"AR{i}" for i in range(1, 8)]
     rows = [
@@ -38,10 +33,12 @@ def test_stage_tape(spark):
         ("2020-11-30", "P", "1", "ND", "nan", "NaT", "") + ("x",),
         tuple("d" * 51 for _ in range(7)) + ("x",),
     ]
-    raw = spark.createDataFrame(rows, ", ".join(f"`{f}{' Loan' if f == 'AR3' else ''}` string" for f in fields) + ", EXTRA1 string")
-    out = tp.stage_tape(raw, "AVON2")
+    rows = [(*r, i in (0, 3)) for i, r in enumerate([*rows, rows[0]])]  # the last one is no file's first row
+    schema = ", ".join(f"`{f}{' Loan' if f == 'AR3' else ''}` string" for f in fields) + ", EXTRA1 string, FirstRow boolean"
+    out = tp.stage_tape(spark.createDataFrame(rows, schema), "AVON2")
     assert out.columns == ["DealID", *fields]
-    assert [tuple(r) for r in out.collect()] == [("AVON2", "2020-11-30", "P", "1", None, None, None, None)]
+    kept = [("AVON2", "2020-11-30", "P", "1", None, None, None, None), ("AVON2", *(f"Loan Identifier {i}" for i in range(7)))]
+    assert [tuple(r) for r in out.collect()] == kept
 
 
 def test_staging_replace_and_append(spark):
@@ -68,11 +65,43 @@ def test_registry(spark):
     assert tp.find_deal(registry, "ok").count() == 1 and tp.find_deal(registry, "zzz").count() == 0
 
 
+def write_lines(spark, folder, *lines):
+    spark.createDataFrame([("\n".join(lines),)], "value string").coalesce(1).write.mode("append").text(folder)
+
+
+def test_tape_files_are_read_by_header_name(spark):
+    folder = work_folder(spark, "tapes")
+    described = "Loan Identifier,Balance,Date of Loan,Pool,Pool Date,Loan Date"
+    write_lines(spark, folder, "AR3 Loan Identifier,AR67,AR1,AR2,AR5,AR6", described, "L1,100,2020-11-30,P,o,s", described + "s")
+    write_lines(spark, folder, "AR67 Balance,AR3,AR1,AR3", "200,L2,2020-11-30,again", "300,L3", "400,L4,2020-11-30,a,b")
+    raw = tp.read_tape(spark, folder, "*.txt")
+    staged = {r["AR3"]: r for r in tp.stage_tape(raw, "A").collect()}
+    assert set(staged) == {"L1", "L2", "L3", "L4", "Loan Identifier"}  # the second description is no first row
+    assert [staged[k]["AR67"] for k in ("L1", "L2", "L3", "L4")] == ["100", "200", "300", "400"]
+    assert staged["L1"]["AR2"] == "P" and staged["L2"]["AR2"] is None
+    assert [r["MalformedRows"] for r in tp.malformed_rows(raw).collect()] == [2]
+    assert {r["AR3"] for r in raw.filter("Malformed IS NOT NULL").collect()} == {"L3", "L4"}
+
+
+def test_tape_of_a_registered_deal(spark):
+    folder = work_folder(spark, "deals")
+    for name in ("one", "two", "two"):
+        write_lines(spark, f"{folder}/{name}", "AR3", "L1")
+    registry = spark.createDataFrame(
+        [("ONE", "active", "*.txt"), ("WAIT", "awaiting_data", "*.txt"), ("NONE", "active", "*.csv")],
+        "DealID string, status string, tape_pattern string",
+    )
+    assert tp.read_deal_tape(registry, f"{folder}/one", "one").first()["AR3"] == "L1"
+    for deal, where, message in (("ZZZ", "one", "unknown"), ("WAIT", "one", "awaiting"), ("NONE", "one", "no tape"), ("ONE", "two", "more than one")):
+        with pytest.raises(ValueError, match=message):
+            tp.resolve_tape(registry, f"{folder}/{where}", deal)
+
+
 def test_delimited_sources(spark):
     folder = work_folder(spark, "csv")
     tp.write_csv(spark.createDataFrame([("2020-11-30", "1")], "AR1 string, AR3 string").coalesce(1), folder)
-    back = tp.read_tape(spark, folder, ["AR1", "AR3"], "*.csv")
-    assert [tuple(r)[:2] for r in back.collect()] == [("2020-11-30", "1")] and back.columns[-1] == "TapeFile"
+    back = tp.read_tape(spark, folder, "*.csv")
+    assert [tuple(r)[:2] for r in back.collect()] == [("2020-11-30", "1")] and "TapeFile" in back.columns
     line = "AVON2,Class A,XS1,666345000,648188081.84,0.97,0.18,1.0,0.18,SONIA+0.90,2048-09-21,2020-11-30"
     path = work_folder(spark, "tranches")
     spark.createDataFrame([(",".join(tp.TRANCHE_SCHEMA.names),), (line,)], "value string").coalesce(1).write.text(path)

@@ -59,7 +59,7 @@ def test_dates(spark):
     assert got == {
         AVON: (dt.date(2020, 11, 30), dt.date(2020, 10, 31)),
         "Avon 2 IR Dec 2021.pdf": (dt.date(2021, 12, 31), dt.date(2021, 11, 5)),
-        "Avon 2 IR Feb 2024.pdf": (dt.date(2024, 2, 28), dt.date(2024, 2, 28)),
+        "Avon 2 IR Feb 2024.pdf": (dt.date(2024, 2, 28), dt.date(2020, 10, 31)),
         "Avon 2 IR.pdf": (None, None),
     }
 
