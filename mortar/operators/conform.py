@@ -5,6 +5,7 @@ What differs between deals is data (:class:`DealFormat`), not code.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
 from dataclasses import dataclass
 from decimal import Decimal
 
@@ -89,12 +90,27 @@ FACT_PLAIN = {
 TIE_BREAK = ("AR8", "AR7", "AR2", "AR5", "AR6", "AR66", "AR55")
 
 
-def _typed(field: str, kind: str, fmt: DealFormat) -> Column:
-    c = F.lit(None).cast("string") if field in fmt.absent else F.col(field)
+def _deals(formats: Sequence[DealFormat], test) -> list[str]:
+    return [f.deal_id for f in formats if test(f)]
+
+
+def _by_deal(formats: Sequence[DealFormat], test, yes: Column, no: Column) -> Column:
+    """``yes`` for the deals whose format passes the test, ``no`` for the others."""
+    some = _deals(formats, test)
+    if len(some) in (0, len(formats)):
+        return yes if some else no
+    return F.when(F.col("DealID").isin(some), yes).otherwise(no)
+
+
+def _typed(field: str, kind: str, formats: Sequence[DealFormat]) -> Column:
+    c = _by_deal(formats, lambda f: field in f.absent, F.lit(None).cast("string"), F.col(field))
     if kind == "rate":
-        return (ratio(c) * F.lit(fmt.rate_factor)).cast("decimal(18,9)")
+        factor = F.lit(formats[0].rate_factor)
+        for other in {f.rate_factor for f in formats} - {formats[0].rate_factor}:
+            factor = _by_deal(formats, lambda f, v=other: f.rate_factor == v, F.lit(other), factor)
+        return (ratio(c) * factor).cast("decimal(18,9)")
     if kind == "origination":
-        return quarter_end(c) if fmt.quarter_dates else iso_date(c)
+        return _by_deal(formats, lambda f: f.quarter_dates, quarter_end(c), iso_date(c))
     return {"text": lambda x: x, "whole": whole, "money": money, "ratio": ratio, "date": iso_date}[kind](c)
 
 
@@ -107,22 +123,23 @@ def decode_join(df: DataFrame, code: str, labels: DataFrame, label: str) -> Data
     return df.join(lookup, F.col(code) == F.col("_code"), "left").drop("_code")
 
 
-def _conform(tape: DataFrame, fmt: DealFormat, plain: dict, decoded: list) -> DataFrame:
-    """Project the tape to canonical columns.
+def _conform(tape: DataFrame, formats: Sequence[DealFormat], plain: dict, decoded: list) -> DataFrame:
+    """Project the tape to canonical columns, all deals in one pass.
 
     The code lists are fixed and short, so labels come from literal maps: unlike joins they vanish
     from every plan that does not look at the label.
     """
-    columns = [_typed(field, kind, fmt).alias(name) for name, (field, kind) in plain.items()]
+    columns = [_typed(field, kind, formats).alias(name) for name, (field, kind) in plain.items()]
     for name, field, ref in decoded:
-        code = _typed(field, "text", fmt)
+        code = _typed(field, "text", formats)
         columns += [decode_label(code, REF_TABLES[ref]).alias(name), code.alias(f"{name}_code")]
     return tape.select("DealID", *columns)
 
 
-def deal_rows(tape: DataFrame, fmt: DealFormat) -> DataFrame:
-    rows = tape.filter(F.col("DealID") == fmt.deal_id)
-    return rows if fmt.keep_null_ids else rows.filter(F.col("AR3").isNotNull())
+def deal_rows(tape: DataFrame, formats: Sequence[DealFormat]) -> DataFrame:
+    """Rows of the deals that have a format; rows without a loan id only where the deal keeps them."""
+    keeps = _by_deal(formats, lambda f: f.keep_null_ids, F.lit(True), F.col("AR3").isNotNull())
+    return tape.filter(F.col("DealID").isin(_deals(formats, lambda f: True)) & keeps)
 
 
 def latest_per_loan(tape: DataFrame) -> DataFrame:
@@ -132,21 +149,20 @@ def latest_per_loan(tape: DataFrame) -> DataFrame:
     return pick_one(tape, ["AR3", "DealID"], order)
 
 
-def conform_dim_loan(tape: DataFrame, fmt: DealFormat) -> DataFrame:
-    """Loan attributes, one row per loan (33 columns)."""
-    return _conform(latest_per_loan(deal_rows(tape, fmt)), fmt, DIM_PLAIN, DIM_DECODED)
+def conform_dim_loan(tape: DataFrame, *formats: DealFormat) -> DataFrame:
+    """Loan attributes of the deals, one row per loan (33 columns)."""
+    return _conform(latest_per_loan(deal_rows(tape, formats)), formats, DIM_PLAIN, DIM_DECODED)
 
 
-def conform_extended_dim(tape: DataFrame, fmt: DealFormat) -> DataFrame:
+def conform_extended_dim(tape: DataFrame, *formats: DealFormat) -> DataFrame:
     """Loan attributes with the twelve further documented columns."""
-    return _conform(
-        latest_per_loan(deal_rows(tape, fmt)), fmt, {**DIM_PLAIN, **DIM_EXTENDED_PLAIN}, DIM_DECODED + DIM_EXTENDED_DECODED
-    )
+    plain = {**DIM_PLAIN, **DIM_EXTENDED_PLAIN}
+    return _conform(latest_per_loan(deal_rows(tape, formats)), formats, plain, DIM_DECODED + DIM_EXTENDED_DECODED)
 
 
-def conform_fact_loan_period(tape: DataFrame, fmt: DealFormat) -> DataFrame:
-    """Loan-period facts, one row per loan and cut-off (38 columns); absent fields are typed NULLs."""
-    return _conform(deal_rows(tape, fmt), fmt, FACT_PLAIN, FACT_DECODED)
+def conform_fact_loan_period(tape: DataFrame, *formats: DealFormat) -> DataFrame:
+    """Loan-period facts of the deals, one row per loan and cut-off (38 columns); absent fields are typed NULLs."""
+    return _conform(deal_rows(tape, formats), formats, FACT_PLAIN, FACT_DECODED)
 
 
 def region_from_postcode(df: DataFrame, field: str) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import DataFrame, functions as F
 
 from mortar.operators.conform import FORMATS, conform_dim_loan, conform_fact_loan_period
@@ -11,12 +9,11 @@ from mortar.sources.seeds import deals
 
 
 def dim_loan(tape: DataFrame, formats=FORMATS) -> DataFrame:
-    return reduce(DataFrame.unionByName, [conform_dim_loan(tape, f) for f in formats])
+    return conform_dim_loan(tape, *formats)
 
 
 def fact_loan_period(tape: DataFrame, formats=FORMATS) -> DataFrame:
-    parts = [conform_fact_loan_period(tape, f) for f in formats]
-    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), parts)
+    return conform_fact_loan_period(tape, *formats)
 
 
 def star_join(fact: DataFrame, dim: DataFrame, columns: list[str]) -> DataFrame:
