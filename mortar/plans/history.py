@@ -9,7 +9,8 @@ from mortar.plans.frames import Frames, present
 from mortar.plans.loans import DELINQUENCY, G, POOL_SUMMARY_COLUMNS, PREP_POOL, PREP_POOL_DOUBLE, PREP_POOL_MONEY
 from mortar.plans.registry import register
 from mortar.plans.sqltext import EXITS, FACT, LOANS, REFS, REPORTED, STAR, TAPE, d, n, prep_arrears, query, r, ratio, values, wavg
-from mortar.sources import seeds
+from mortar.session import work_folder
+from mortar.sources import history_table, seeds
 
 KEY = ["DealID", "Period", "Source"]
 _KEPT = "DealID Period Source Delivery CutoffDate CurrentBalance WA_Coupon WA_CurrentLTV CPR_1m CPR_12m CDR_1m".split()
@@ -30,6 +31,24 @@ register(
 )
 
 
+def _stored(x: Frames):
+    """The same through a stored history: two batches merged one after the other, the second one twice."""
+    path = work_folder(x.spark, "history")
+    rows = x.reported()
+    for batch in (0, 1, 1):
+        history_table.merge_into(rows.filter(F.col("Batch") == batch), path, KEY, ["Delivery"])
+    return history_table.read_history(x.spark, path)
+
+
+register(
+    "history_store",
+    lambda x: present(_stored(x).select(*_KEPT)),
+    query(
+        f"SELECT * REPLACE ({d('CurrentBalance')} AS CurrentBalance) FROM (SELECT {', '.join(_KEPT)} FROM {NEWEST})", REPORTED
+    ),
+)
+
+
 def _tape_history(x: Frames):
     return prep.prep_pool_summary(x.loans(), x.exits())
 

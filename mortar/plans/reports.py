@@ -4,12 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from mortar.operators import controls, history, marts, reports
+from mortar.operators import controls, marts, reports
 from mortar.plans.frames import Frames, present
 from mortar.plans.loans import G, POOL_SUMMARY_COLUMNS
 from mortar.plans.registry import register
 from mortar.plans.sqltext import PAGES, STAR, TAPE, d, he, query, r, values
-from mortar.sources import seeds
+from mortar.session import work_folder
+from mortar.sources import history_table, seeds
 
 CONFIG = values("config", "deal_id, pattern, class_a, subordination", seeds.REPORT_CONFIG)
 CHOSEN = (
@@ -139,10 +140,22 @@ register("ir_metrics", lambda x: present(_metrics(x)), query(_SHOWN, *ALL_PARTS)
 
 
 def _replaced(x: Frames):
-    """The stored history of both deals, with one deal's slice extracted again."""
-    metrics = _metrics(x)
-    stored = reports.as_history(metrics, "stored earlier")
-    return history.replace_slice(stored, reports.as_history(metrics.filter("DealID = 'AVON2'")), "AVON2")
+    """A stored history of both deals whose slice of one deal is replaced by a new extraction.
+
+    The old slice has other dates and balances, none of which may be left.
+    """
+    path, order = work_folder(x.spark, "reports"), ["DealID", "CutoffDate"]
+    metrics, mine = _metrics(x), F.col("DealID") == "AVON2"
+    old = metrics.withColumns(
+        {
+            "CutoffDate": F.when(mine, F.date_sub("CutoffDate", 400)).otherwise(F.col("CutoffDate")),
+            "PoolBalance": F.when(mine, F.lit(1.0)).otherwise(F.col("PoolBalance")),
+        }
+    )
+    history_table.merge_into(reports.as_history(old, "stored earlier"), path, order)
+    for _ in range(2):  # the second time changes nothing
+        history_table.replace_deal(reports.as_history(metrics.filter(mine)), path, "AVON2", order)
+    return history_table.read_history(x.spark, path)
 
 
 _EMPTY = [c for c in reports.HISTORY_COLUMNS if c in (

@@ -4,10 +4,12 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
+from pyspark.sql import functions as F, types as T
 
 from mortar.functions import bands, casts
 from mortar.operators import controls, history, measures, reports
+from mortar.session import work_folder
+from mortar.sources import history_table
 
 
 def one(spark, value, kind, column):
@@ -55,3 +57,25 @@ def test_reports_are_read_to_their_last_page(spark):
     df = spark.createDataFrame(pages, "deal_id string, file_name string, page_no int, text string")
     assert reports.report_dates(df).first()["CutoffDate"] == dt.date(2020, 11, 30)
     assert reports.note_balances(df).first()["ClassA_Balance"] == 648188081.84
+
+
+def test_stored_history(spark):
+    path = work_folder(spark, "history")
+    assert history_table.read_history(spark, path) is None
+    rows = lambda *r: spark.createDataFrame(list(r), "DealID string, Period string, v int")
+    history_table.merge_into(rows(("A", "1", 1), ("B", "1", 2)), path, ["DealID", "Period"])
+    for _ in range(2):
+        history_table.merge_into(rows(("A", "1", 3), ("A", "2", 4)), path, ["DealID", "Period"])
+    table = lambda: [tuple(r) for r in history_table.read_history(spark, path).collect()]
+    assert sorted(table()) == [("A", "1", 3), ("A", "2", 4), ("B", "1", 2)]
+    history_table.replace_deal(rows(("A", "9", 9)), path, "A", ["DealID", "Period"])
+    assert sorted(table()) == [("A", "9", 9), ("B", "1", 2)]
+
+
+def test_report_history_keeps_count_of_bad_lines(spark):
+    path = work_folder(spark, "csv")
+    spark.createDataFrame([("DealID,v\nA,1\nA\nB,x\nB,2,3\nC,4",)], "t string").coalesce(1).write.text(path)
+    schema = T.StructType([T.StructField("DealID", T.StringType()), T.StructField("v", T.IntegerType())])
+    rows, bad = history_table.read_report_history(spark, path, schema)
+    assert sorted(tuple(r) for r in rows.collect()) == [("A", 1), ("C", 4)]
+    assert bad.count() == 3
