@@ -190,9 +190,9 @@ def cast_failures(tape: DataFrame, formats=FORMATS) -> DataFrame:
         typed = None
         for fmt in formats:
             typed = (
-                F.when(F.col("DealID") == fmt.deal_id, _typed(field, kind, fmt).isNull())
+                F.when(F.col("DealID") == fmt.deal_id, _typed(field, kind, [fmt]).isNull())
                 if typed is None
-                else typed.when(F.col("DealID") == fmt.deal_id, _typed(field, kind, fmt).isNull())
+                else typed.when(F.col("DealID") == fmt.deal_id, _typed(field, kind, [fmt]).isNull())
             )
         counts.append(F.count(field).alias(f"{name}_n"))
         counts.append(F.count_if(F.col(field).isNotNull() & typed).alias(f"{name}_f"))
