@@ -30,43 +30,65 @@ from pyspark.sql import functions as F
 from mortar.llm import bpe, columns, ranges, scratch
 
 END_ID = 1
+#: Bytes that run side by side in checksums.
+SEGMENT = 1024
 _MASK = 0xA282EAD8
 INDEX = "shard int, file string, place int, doc_id long, at long, bytes long, n_ids long, ids_before long"
 
 
 @lru_cache(maxsize=None)
-def _crc_tables() -> tuple[np.ndarray, np.ndarray]:
-    """CRC-32C of two bytes at once: tables for the first and the second half of a 32-bit state."""
+def _crc_tables() -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """CRC-32C steps over two bytes and one byte, and, by byte of the state, over ``SEGMENT`` zero bytes."""
     byte = np.arange(256, dtype=np.uint32)
     for _ in range(8):
         byte = np.where(byte & 1, (byte >> 1) ^ np.uint32(0x82F63B78), byte >> 1).astype(np.uint32)
     step = lambda s: byte[s & 255] ^ (s >> np.uint32(8))
     two = step(step(np.arange(65536, dtype=np.uint32)))
-    return two, byte
+    zeros = (np.arange(256, dtype=np.uint32)[None, :] << np.arange(0, 32, 8, dtype=np.uint32)[:, None]).ravel()
+    for _ in range(SEGMENT):
+        zeros = step(zeros)
+    return two, byte, zeros.reshape(4, 256)
 
 
 def crc32c(parts: list[bytes]) -> np.ndarray:
-    """CRC-32C of many byte strings, two bytes a step for all of them side by side."""
-    two, byte = _crc_tables()
+    """CRC-32C of many byte strings.
+
+    All segments of all strings run side by side, two bytes a step, and are joined by the linearity of the checksum, so
+    the steps do not grow with the longest string.  A string's short segment is its first one.
+    """
+    two, byte, zeros = _crc_tables()
     sizes = np.array([len(p) for p in parts], np.int64)
-    state = np.full(sizes.size, 0xFFFFFFFF, np.uint32)
-    order = np.argsort(-sizes, kind="stable")
-    starts = np.concatenate([[0], np.cumsum(sizes)])[:-1][order]
+    starts = np.cumsum(sizes) - sizes
     data = np.frombuffer(b"".join(parts) + b"\x00", np.uint8)
-    pairs = sizes[order] // 2
-    lanes = np.arange(sizes.size)
+    full, head = sizes // SEGMENT, sizes % SEGMENT
+
+    order = np.argsort(-head, kind="stable")
+    at, pairs = starts[order], head[order] // 2
+    run = np.full(sizes.size, 0xFFFFFFFF, np.uint32)
     live = np.searchsorted(-pairs, -np.arange(1, int(pairs.max(initial=0)) + 1), side="right")
-    run = state[order]
     for k, n in enumerate(live.tolist()):
-        at = starts[:n] + 2 * k
-        word = data[at].astype(np.uint32) | (data[at + 1].astype(np.uint32) << np.uint32(8))
-        s = run[:n]
-        run[:n] = two[(s ^ word) & np.uint32(0xFFFF)] ^ (s >> np.uint32(16))
-    odd = lanes[sizes[order] % 2 == 1]
-    if odd.size:
-        last = data[starts[odd] + sizes[order][odd] - 1]
-        run[odd] = byte[(run[odd] ^ last) & np.uint32(255)] ^ (run[odd] >> np.uint32(8))
+        here = at[:n] + 2 * k
+        word = data[here].astype(np.uint32) | (data[here + 1].astype(np.uint32) << np.uint32(8))
+        run[:n] = two[(run[:n] ^ word) & np.uint32(0xFFFF)] ^ (run[:n] >> np.uint32(16))
+    odd = np.flatnonzero(head[order] % 2)
+    last = data[at[odd] + head[order][odd] - 1]
+    run[odd] = byte[(run[odd] ^ last) & np.uint32(255)] ^ (run[odd] >> np.uint32(8))
+    state = np.empty_like(run)
     state[order] = run
+
+    first = np.cumsum(full) - full
+    if full.any():
+        owner = np.repeat(np.arange(sizes.size), full)
+        begin = starts[owner] + head[owner] + (np.arange(owner.size) - first[owner]) * SEGMENT
+        words = data[begin[:, None] + np.arange(SEGMENT)].view("<u2").T.astype(np.uint32)
+        part = np.zeros(owner.size, np.uint32)
+        for word in words:
+            part = two[(part ^ word) & np.uint32(0xFFFF)] ^ (part >> np.uint32(16))
+        for k in range(int(full.max())):
+            on = np.flatnonzero(full > k)
+            s = state[on]
+            moved = zeros[0][s & 255] ^ zeros[1][(s >> 8) & 255] ^ zeros[2][(s >> 16) & 255] ^ zeros[3][s >> 24]
+            state[on] = moved ^ part[first[on] + k]
     return ~state
 
 
@@ -191,7 +213,9 @@ def read(spark: SparkSession, folder: str, index: DataFrame, width: int = 2) ->
                         )
                         place, before = place + len(ids), before + int(offsets[-1])
 
-    files = index.select("file").distinct().repartition("file")
+    # one task a file: their number is bounded, and their names alone say nothing of their size
+    files = index.select("file").distinct()
+    files = files.repartition(max(1, files.count()))
     return files.mapInArrow(records, "file string, place int, n_ids long, ids_before long, ids_crc32 long, ids array<int>")
 
 
@@ -213,7 +237,7 @@ def round_trip(docs: DataFrame, vocabulary: str, end_id: int = END_ID) -> DataFr
     found = read(spark, folder, index).drop("ids")
     named = index.select("file", "place", "doc_id")
     return (
-        found.join(named, ["file", "place"])
+        found.hint("merge").join(named.hint("merge"), ["file", "place"])  # as many rows as documents on both sides
         .join(F.broadcast(starts(index)), "file")
         .select("doc_id", (F.col("start") + F.col("ids_before")).alias("start"), F.col("n_ids").alias("n_tokens"), "ids_crc32")
     )
