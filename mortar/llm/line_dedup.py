@@ -168,7 +168,9 @@ def deletions(docs: DataFrame, least: int = LEAST) -> DataFrame:
 
     units = own.select("id", F.explode(F.array_distinct("units")).alias("unit"))
     owners = units.groupBy("unit").agg(F.min("id").alias("owner"), F.max("id").alias("last")).filter("owner < last")
-    links = units.join(owners.drop("last"), "unit").filter("id > owner").select("id", "owner").distinct()
+    # written, so that the join below has a plain shuffle on both sides: Spark can then split a unit of many documents
+    owners = scratch.stored(owners.drop("last"), "owners")
+    links = units.join(owners, "unit").filter("id > owner").select("id", "owner").distinct()
 
     pairs = (
         links.join(own.select("id", "a", "lines", "words"), "id")
