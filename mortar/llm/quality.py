@@ -196,9 +196,9 @@ def train(x: np.ndarray, label: np.ndarray, steps: int = STEPS, shrink: float =
     w = np.zeros(x.shape[1] + 1)
     m, s = np.zeros_like(w), np.zeros_like(w)
     for k in range(1, steps + 1):
-        p = 1 / (1 + np.exp(-np.clip(x @ w[:-1] + w[-1], -50, 50)))
+        p = 1 / (1 + np.exp(-np.clip(x @ w[:-1].astype(x.dtype) + w[-1], -50, 50)))
         gap = (p - label) / label.size
-        g = np.append(x.T @ gap + shrink * w[:-1] / label.size, gap.sum())
+        g = np.append(x.T @ gap.astype(x.dtype) + shrink * w[:-1] / label.size, gap.sum())
         m, s = 0.9 * m + 0.1 * g, 0.999 * s + 0.001 * g * g
         w -= 0.3 * (m / (1 - 0.9**k)) / (np.sqrt(s / (1 - 0.999**k)) + 1e-9)
     return w
