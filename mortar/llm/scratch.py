@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 import uuid
 
@@ -12,7 +13,7 @@ def shared_folder(spark: SparkSession) -> str:
     """``spark.checkpoint.dir`` of the session; on one machine (tests) a temporary folder where it is unset."""
     shared = spark.conf.get("spark.checkpoint.dir", None)
     if not shared:
-        if not spark.sparkContext.master.startswith("local["):
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
             raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         shared = tempfile.mkdtemp(prefix="run-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", shared)
