@@ -39,6 +39,44 @@ MOST_PIECES, MOST_WORDS, MOST_PAIRS, MOST_STEPS = 350_000, 150_000, 1_000_000, 1
 _END = 256
 
 
+class _State(dict):
+    """State of the automaton: symbol -> next state.
+
+    ``link`` is the state of the longest proper suffix, ``tokens`` the vocabulary's tokens that end here, longest first,
+    each with its length and what is known of the tokens it can follow.  A step that the vocabulary does not have goes
+    along the links; what it finds is remembered, up to ``MOST_STEPS`` of all states.
+    """
+
+    __slots__ = ("link", "tokens")
+    remembered = 0
+
+    def __init__(self, link: _State | None):
+        super().__init__()
+        self.link, self.tokens = link, ()
+
+    def grow(self, symbol: int) -> _State:
+        self[symbol] = new = _State(None)
+        return new
+
+    def after(self, symbol: int) -> _State:
+        """Next state by the vocabulary's own steps, without remembering; the start where there is none."""
+        state = self
+        while True:
+            found = state.get(symbol)
+            if found is not None:
+                return found
+            if state.link is None:
+                return state
+            state = state.link
+
+    def __missing__(self, symbol: int) -> _State:
+        found = self.after(symbol)
+        if _State.remembered < MOST_STEPS:
+            _State.remembered += 1
+            self[symbol] = found
+        return found
+
+
 class _Pieces(dict):
     """Piece of text without white space -> its ids as little-endian 32-bit integers.
 
@@ -100,8 +138,7 @@ class Encoder:
             if t not in self._made:
                 self._made[t], self._left[t], self._right[t] = rank, a, b
         self._build_automaton()
-        self._pairs: dict[int, bool] = {}
-        self._seen: dict[int, int] = {}
+        self._pairs = 0
         self._coded: dict[str, list[int]] = {}
         self.pieces = _Pieces(self._encode_piece)
 
@@ -114,44 +151,32 @@ class Encoder:
         return tuple(body)
 
     def _build_automaton(self) -> None:
-        step: dict[int, int] = {}
-        token_at, depth, children = [-1], [0], [[]]
-        ids = {}
+        vocab = {t: i for i, t in self.strings.items() if t in self._symbols}
+        root = _State(None)
+        token_at: dict[int, tuple[int, int]] = {}
         for token, symbols in self._symbols.items():
-            state = 0
+            state = root
             for s in symbols:
-                key = state << 9 | s
-                nxt = step.get(key)
-                if nxt is None:
-                    nxt = step[key] = len(token_at)
-                    token_at.append(-1)
-                    depth.append(depth[state] + 1)
-                    children[state].append((s, nxt))
-                    children.append([])
-                state = nxt
-            ids[token] = state
-        vocab = {t: i for i, t in self.strings.items() if t in self._symbols}
-        for token, state in ids.items():
-            token_at[state] = vocab[token]
-        link, longest = [0] * len(token_at), list(token_at)
-        self._length, self._shorter = [0] * (max(self.strings) + 1), [-1] * (max(self.strings) + 1)
-        queue = [child for _, child in children[0]]
+                following = state.get(s)
+                state = state.grow(s) if following is None else following
+            token_at[id(state)] = vocab[token], len(symbols)
+        self._length = [0] * (max(self.strings) + 1)
+        known: dict[int, tuple[int, int, dict[int, bool]]] = {}
+        queue = []
+        for child in root.values():
+            child.link = root
+            queue.append(child)
         for state in queue:  # breadth first: suffix links of shallower states are known
-            if token_at[state] >= 0:
-                self._length[token_at[state]] = depth[state]
-                self._shorter[token_at[state]] = longest[link[state]]
-            else:
-                longest[state] = longest[link[state]]
-            for s, child in children[state]:
-                back = link[state]
-                while True:
-                    nxt = step.get(back << 9 | s)
-                    if nxt is not None or back == 0:
-                        break
-                    back = link[back]
-                link[child] = nxt or 0
+            shorter = state.link.tokens
+            if id(state) in token_at:
+                token, length = token_at[id(state)]
+                self._length[token] = length
+                shorter = ((token, length, known.setdefault(token, (token, length, {}))[2]), *shorter)
+            state.tokens = shorter
+            for s, child in list(state.items()):
+                child.link = state.link.after(s)
                 queue.append(child)
-        self._step, self._link, self._longest = step, link, longest
+        self._root = root
 
     def _compatible(self, a: int, b: int) -> bool:
         """Whether the merge rules leave token a followed by token b as they are.
@@ -182,44 +207,30 @@ class Encoder:
                     return False
         return True
 
-    def _advance(self, state: int, key: int) -> int:
-        """State after a symbol that the trie does not have at this state: along the suffix links, then remembered."""
-        step, link, symbol = self._step, self._link, key & 511
-        back = state
-        while back:
-            back = link[back]
-            nxt = step.get(back << 9 | symbol)
-            if nxt is not None:
-                break
-        if len(self._seen) >= MOST_STEPS:
-            self._seen.clear()
-        self._seen[key] = nxt
-        return nxt
-
     def _encode_word(self, word: str) -> list[int]:
         symbols = list(word.encode())
         symbols[-1] += _END
-        step, seen, longest = self._step, self._seen, self._longest
-        length, shorter, pairs = self._length, self._shorter, self._pairs
-        last, state, i = [], 0, 0
+        last: list[int] = []
+        state, i = self._root, 0
         for s in symbols:
-            key = state << 9 | s
-            state = step.get(key) or seen.get(key) or self._advance(state, key)
-            token = longest[state]
-            before = i - length[token]
-            while before >= 0:
-                pair = last[before] << 16 | token
-                fits = pairs.get(pair)
-                if fits is None:
-                    if len(pairs) >= MOST_PAIRS:
-                        pairs.clear()
-                    fits = pairs[pair] = self._compatible(last[before], token)
+            state = state[s]
+            for token, length, known in state.tokens:
+                before = i - length
+                if before < 0:
+                    break
+                left = last[before]
+                try:
+                    fits = known[left]
+                except KeyError:
+                    fits = self._compatible(left, token)
+                    if self._pairs < MOST_PAIRS:
+                        self._pairs += 1
+                        known[left] = fits
                 if fits:
                     break
-                token = shorter[token]
-                before = i - length[token]
             last.append(token)
             i += 1
+        length = self._length
         out, i = [], i - 1
         while i >= 0:
             token = last[i]
@@ -229,6 +240,11 @@ class Encoder:
         return out
 
     def _encode_piece(self, piece: str) -> bytes:
+        # letters alone, or with one mark behind them, need no pattern
+        if piece.isalpha():
+            return self._packed([piece])
+        if piece[-1:] in (",", ".") and piece[:-1].isalpha():
+            return self._packed([piece[:-1], piece[-1]])
         return self._packed(self._words.findall(piece))
 
     def _packed(self, words: list[str]) -> bytes:
