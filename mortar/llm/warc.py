@@ -255,18 +255,18 @@ def records(chunks: DataFrame) -> DataFrame:
         (F.col("offset") + F.col("size")).alias("n"), "payload_digest",
     )
     ends = scratch.stored(ends, "records")
+    columns_ = ["page_id", "n", "payload_digest", "record_type", "refers_to", "target"]
     whole = ends.filter("record_type = 'response' AND page_id IS NOT NULL").select(
         F.col("record_id").alias("refers_to_record"), F.col("page_id").alias("refers_to"),
         F.col("n").alias("full_n"), F.col("payload_digest").alias("full_digest"),
     ).dropDuplicates(["refers_to_record"])
-    return ends.join(whole, "refers_to_record", "left").select(
-        "page_id",
-        F.coalesce("full_n", "n").alias("payload_bytes"),
-        F.coalesce("full_digest", "payload_digest").alias("payload_digest"),
-        "record_type",
-        "refers_to",
-        "target",
-    )
+    # written, so that the join has a plain shuffle on both sides: Spark can then split a response of many revisits
+    whole = scratch.stored(whole, "responses")
+    alone = ends.filter("refers_to_record IS NULL").withColumn("refers_to", F.lit(None).cast("long"))
+    revisits = ends.filter("refers_to_record IS NOT NULL").join(whole, "refers_to_record", "left")
+    revisits = revisits.withColumn("n", F.coalesce("full_n", "n"))
+    revisits = revisits.withColumn("payload_digest", F.coalesce("full_digest", "payload_digest"))
+    return alone.select(*columns_).unionByName(revisits.select(*columns_)).withColumnRenamed("n", "payload_bytes")
 
 
 def round_trip(pages: DataFrame, least: int = 0) -> DataFrame:
