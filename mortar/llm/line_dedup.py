@@ -1,13 +1,18 @@
 """Line dedup by pairwise alignment.
 
 Documents that share rare lines are found by hashes: a line's hash covers as many further lines as it takes to reach
-``LEAST`` words, so short lines that texts share by chance find nobody, and whatever could be deleted is found by the
-first line of it.  Each hash links its documents to the first one that has it, so a line of n documents gives n - 1 links
+``LEAST`` words, so short lines that texts share by chance find nobody, and every common block is found by the first
+line of it.  Each hash links its documents to the first one that has it, so a line of n documents gives n - 1 links
 and no line needs a frequency limit.  Linked documents are aligned by patience diff: lines that occur once in both, in
 the longest common order, are anchors, and the gaps between them are aligned in the same way; a gap without such a line
 is anchored at its rarest common one.  A run of aligned lines of at least ``LEAST`` words is a common block and is
 deleted from the later document.  The first copy of a line is never deleted, since no earlier document has it.
 
+One alignment cannot match what two documents hold in different orders, so with ``again``, as in the query and the
+pipeline, the lines it leaves are looked up again: as long as a run of them is one that an earlier document has, they are
+aligned with that document once more, the deleted lines standing as gaps that match nothing.  In the end no line hash of
+what is left has an earlier owner.
+
 Exact copies of a text are one aligned block with the first copy, and only first copies are linked and aligned.
 
 Defined results: documents are ordered by id, those without an id last; rows of one id are not aligned with each other.
@@ -140,6 +145,35 @@ def _line_lists(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.Re
             )
 
 
+def left_units(words: list[int], gone: set[int], least: int = LEAST) -> list[tuple[int, int]]:
+    """(first line, one past the last) of every unit that holds no deleted line."""
+    out, end, total = [], 0, 0
+    for i in range(len(words)):
+        if end < i:
+            end, total = i, 0
+        while end < len(words) and total < least and end not in gone:
+            total += words[end]
+            end += 1
+        if total >= least and words[i]:
+            out.append((i, end))
+        if end > i:
+            total -= words[i]
+    return out
+
+
+def left_blocks(a: list[int], b: list[int], words: list[int], gone: set[int], least: int = LEAST) -> list[int]:
+    """Lines of b, apart from the deleted ones, in blocks aligned with a; if none align, those of the first unit a has."""
+    found = common_blocks(a, [(j,) if j in gone else x for j, x in enumerate(b)], words, least)
+    if not found:
+        places: dict[int, list[int]] = {}
+        for i, x in enumerate(a):
+            places.setdefault(x, []).append(i)
+        for i, end in left_units(words, gone, least):
+            if any(a[k : k + end - i] == b[i:end] for k in places.get(b[i], ())):
+                return list(range(i, end))
+    return found
+
+
 def _keys() -> list[Column]:
     return [
         F.coalesce("doc_id", F.lit(NO_ID)).alias("id"),
@@ -157,8 +191,39 @@ def line_table(docs: DataFrame, least: int = LEAST) -> DataFrame:
     )
 
 
-def deletions(docs: DataFrame, least: int = LEAST) -> DataFrame:
-    """(id, a, whole, deleted, owners): what the later documents lose, and the earlier documents that have it."""
+def _left_units(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    """(id, a, unit) of the lines that are left."""
+    for batch in batches:
+        ids, texts, found = [], [], []
+        for id_, a, lines, words, gone in zip(*(batch.column(c) for c in ("id", "a", "lines", "words", "gone"))):
+            units = left_units(words.values.to_numpy().tolist(), set(gone.values.to_numpy().tolist()), least)
+            if units:
+                starts, ends = np.array(units).T
+                own = np.unique(bytescan.range_hashes(lines.values.to_numpy().view(np.uint64), starts, ends))
+                ids.append(np.full(own.size, id_.as_py()))
+                texts.append(np.full(own.size, a.as_py()))
+                found.append(own.view(np.int64))
+        if ids:
+            parts = [pa.array(np.concatenate(x), pa.int64()) for x in (ids, texts, found)]
+            yield pa.RecordBatch.from_arrays(parts, names=["id", "a", "unit"])
+
+
+def _align_left(batches: Iterator[pa.RecordBatch], least: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for at in range(0, batch.num_rows, 512):
+            part = batch.slice(at, 512)
+            lists = (part.column(c) for c in ("owner_lines", "lines", "words", "gone"))
+            rows = ([x.values.to_numpy().tolist() for x in row] for row in zip(*lists))
+            found = [left_blocks(a, b, w, set(g), least) for a, b, w, g in rows]
+            out = bytescan.with_columns(part.select(["id", "a", "owner"]), gone=pa.array(found, pa.list_(pa.int32())))
+            yield out.filter(pa.array([bool(g) for g in found]))
+
+
+def deletions(docs: DataFrame, least: int = LEAST, again: bool = False) -> DataFrame:
+    """(id, a, whole, deleted, owners): what the later documents lose, and the earlier documents that have it.
+
+    ``again``: align the lines that are left until no earlier document has a unit of them; otherwise align once.
+    """
     columns.need(docs, "doc_id", "text")
     rows = scratch.stored(line_table(docs, least), "lines")
     first = rows.groupBy("a", "b").agg(F.min("id").alias("first"))
@@ -170,7 +235,7 @@ def deletions(docs: DataFrame, least: int = LEAST) -> DataFrame:
     owners = units.groupBy("unit").agg(F.min("id").alias("owner"), F.max("id").alias("last")).filter("owner < last")
     # written, so that the join below has a plain shuffle on both sides: Spark can then split a unit of many documents
     owners = scratch.stored(owners.drop("last"), "owners")
-    links = units.join(owners, "unit").filter("id > owner").select("id", "owner").distinct()
+    links = scratch.stored(units.join(owners, "unit").filter("id > owner").select("id", "owner").distinct(), "owner-links")
 
     pairs = (
         links.join(own.select("id", "a", "lines", "words"), "id")
@@ -191,7 +256,26 @@ def deletions(docs: DataFrame, least: int = LEAST) -> DataFrame:
                 out = bytescan.with_columns(out, gone=pa.array(gone, pa.list_(pa.int32())))
                 yield out.filter(pa.array([bool(g) for g in gone]))
 
-    found = pairs.mapInArrow(align, "id long, a long, owner long, gone array<int>")
+    found = scratch.stored(pairs.mapInArrow(align, "id long, a long, owner long, gone array<int>"), "aligned")
+    table = own.select("id", "a", "lines", "words")
+    open_ = table.join(links.select("id").distinct(), "id", "left_semi")
+    while again:
+        gone = found.groupBy("id", "a").agg(F.array_distinct(F.flatten(F.collect_list("gone"))).alias("gone"))
+        state = open_.join(gone, ["id", "a"], "left").withColumn("gone", F.coalesce("gone", F.array().cast("array<int>")))
+        left = state.mapInArrow(lambda batches: _left_units(batches, least), "id long, a long, unit long")
+        links = left.join(owners, "unit").filter("id > owner").select("id", "a", "owner").distinct()
+        links = scratch.stored(links, "links-left")
+        if links.isEmpty():
+            break
+        pairs = links.join(state, ["id", "a"]).join(
+            own.select(F.col("id").alias("owner"), F.col("lines").alias("owner_lines")), "owner"
+        )
+        pairs = pairs.select("id", "a", "owner", "lines", "words", "owner_lines", "gone")
+        more = pairs.mapInArrow(lambda batches: _align_left(batches, least), "id long, a long, owner long, gone array<int>")
+        more = scratch.stored(more, "aligned-left")
+        found = found.unionByName(more)
+        # what was not linked now has no owner left
+        open_ = table.join(links.select("id", "a").distinct(), ["id", "a"], "left_semi")
     found = found.groupBy("id", "a").agg(
         F.array_distinct(F.flatten(F.collect_list("gone"))).alias("deleted"), F.array_sort(F.collect_set("owner")).alias("owners")
     )
@@ -201,7 +285,7 @@ def deletions(docs: DataFrame, least: int = LEAST) -> DataFrame:
     )
 
 
-def deduplicate(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, dict[str, str]]:
+def deduplicate(docs: DataFrame, least: int = LEAST, again: bool = False) -> tuple[DataFrame, dict[str, str]]:
     """Documents with the deleted lines cut out of ``text``, and the names of the added columns.
 
     ``n_lines`` before, ``n_deleted`` lines, ``owners``: ids of the earlier documents that hold what was deleted.
@@ -211,7 +295,7 @@ def deduplicate(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, dict[st
     id_, a, whole, deleted, owners, lines = (
         columns.free_name(docs, n) for n in ("order_key", "text_key", "whole", "deleted_lines", "owner_ids", "line_list")
     )
-    found = deletions(docs, least).select(
+    found = deletions(docs, least, again).select(
         F.col("id").alias(id_), F.col("a").alias(a), F.col("whole").alias(whole), F.col("deleted").alias(deleted),
         F.col("owners").alias(owners),
     )
@@ -232,9 +316,9 @@ def deduplicate(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, dict[st
     ), names
 
 
-def report(docs: DataFrame) -> DataFrame:
+def report(docs: DataFrame, again: bool = False) -> DataFrame:
     """Per document: doc_id, n_lines, n_deleted, owners, kept_sha256 (of the text left; null for a null text)."""
-    found, names = deduplicate(docs.select("doc_id", "text"))
+    found, names = deduplicate(docs.select("doc_id", "text"), again=again)
     return found.select(
         "doc_id", *[F.col(names[n]).alias(n) for n in ("n_lines", "n_deleted", "owners")],
         F.sha2(F.col("text").cast("binary"), 256).alias("kept_sha256"),
@@ -246,7 +330,7 @@ def without_copied_lines(docs: DataFrame) -> DataFrame:
 
     A document that loses all its lines is a copy and goes; one that had no line stays as it is.
     """
-    found, names = deduplicate(docs)
+    found, names = deduplicate(docs, again=True)
     left = found.filter((F.col(names["n_deleted"]) == 0) | (F.trim(F.col("text")) != ""))
     chars = F.when(F.col(names["n_deleted"]) > 0, F.length("text").cast("long"))
     return left.select(

@@ -88,3 +88,29 @@ def test_stage_and_empty_table(spark):
     assert 9006 not in got and got[9007]["text"] == "head\n" and got[9007]["n_chars"] == 5
     assert {9001, 9002, 9003, 9005} <= set(got)
     assert line_dedup.report(empty(spark)).count() == 0
+
+
+def test_lines_in_another_order_go_as_well(spark):
+    rng = random.Random(5)
+    x, y, z = (" ".join(str(rng.random()) for _ in range(6)) for _ in range(3))
+    rows = [(1, f"{x}\n{y}\n{z}"), (2, f"own\n{z}\n{y}\n{x}\nend"), (3, f"{y}\nthree\n{x}\n{z}"), (4, "\n".join(["four", z, y, x]))]
+    got = {r["doc_id"]: r for r in line_dedup.report(spark.createDataFrame(rows, "doc_id long, text string"), again=True).collect()}
+    assert [got[i]["n_deleted"] for i in range(1, 5)] == [0, 3, 3, 3]
+
+
+def test_nothing_that_earlier_partners_have_is_left(spark):
+    rng = random.Random(6)
+    pool = [" ".join(str(rng.random()) for _ in range(6)) for _ in range(12)] + ["ok", "and so on"]
+    rows = [(i, "\n".join(rng.sample(pool, rng.randint(3, 10)))) for i in range(25)]
+    deleted = line_dedup.deletions(spark.createDataFrame(rows, "doc_id long, text string"), again=True).collect()
+    gone = {r["id"]: set(r["deleted"]) for r in deleted if not r["whole"]}
+    for i, text in rows:
+        lines = text.split("\n")
+        seen = {x for _, t in rows[:i] for x in t.split("\n")}
+        left = [x for j, x in enumerate(lines) if j not in gone.get(i, set())]
+        assert not any(x in seen for x in left if len(x.split()) >= LEAST)
+        for _, other in rows[:i]:  # all earlier partners, not the first alone; short lines are no unit of their own
+            block = line_dedup.common_blocks(
+                [hash(x) for x in other.split("\n")], [hash(x) for x in lines], [len(x.split()) for x in lines]
+            )
+            assert {j for j in block if len(lines[j].split()) >= LEAST} <= gone.get(i, set())
