@@ -25,6 +25,8 @@ from pyspark.sql import functions as F
 from mortar.llm import bytescan, columns
 
 BITS, LEAST = 5, 16
+#: Of the query: the coarser cut leaves fewer than LEAST words in whole chunks of some 51-word passages.
+FINE = 4
 NO_ID = (1 << 63) - 1
 _GEAR = np.random.default_rng(77).integers(0, 2**32, 256, dtype=np.uint32)
 _SPACE = np.zeros(256, bool)
@@ -57,8 +59,8 @@ def chunk_ends(data: np.ndarray, offsets: np.ndarray, bits: int = BITS) -> np.nd
 class Chunks:
     """Chunks of a block of texts: ends, digests, words, and the bounds of each text's chunks."""
 
-    def __init__(self, data: np.ndarray, offsets: np.ndarray):
-        self.ends = chunk_ends(data, offsets)
+    def __init__(self, data: np.ndarray, offsets: np.ndarray, bits: int = BITS):
+        self.ends = chunk_ends(data, offsets, bits)
         self.starts = np.concatenate([[0], self.ends[:-1]]) if self.ends.size else self.ends
         self.digest = bytescan.byte_hashes(data, self.starts, self.ends).view(np.int64)
         first, _ = bytescan.spans(~_SPACE[data], offsets)
@@ -66,13 +68,13 @@ class Chunks:
         self.bounds = np.searchsorted(self.ends, offsets, side="right")
 
 
-def digests(docs: DataFrame) -> DataFrame:
+def digests(docs: DataFrame, bits: int = BITS) -> DataFrame:
     """(id, a, digests): the distinct chunk digests of every whole text; id and a identify the row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in bytescan.sliced(batches, "text"):
             for first, data, offsets in bytescan.blocks(batch.column("text")):
-                c = Chunks(data, offsets)
+                c = Chunks(data, offsets, bits)
                 own = [np.unique(c.digest[i:j]) for i, j in zip(c.bounds[:-1], c.bounds[1:])]
                 sizes = np.concatenate([[0], np.cumsum([x.size for x in own])]).astype(np.int32)
                 flat = np.concatenate(own) if own else np.zeros(0, np.int64)
@@ -87,9 +89,9 @@ def _keys() -> list[Column]:
     return [F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64(F.col("text").isNull(), "text").alias("a")]
 
 
-def repeated(docs: DataFrame) -> DataFrame:
+def repeated(docs: DataFrame, bits: int = BITS) -> DataFrame:
     """(id, a, repeats): for every document that shares chunks with an earlier one, these digests and the first owners."""
-    rows = digests(docs.select(*_keys(), "text").filter("text <> ''"))
+    rows = digests(docs.select(*_keys(), "text").filter("text <> ''"), bits)
     rows = rows.select("id", "a", F.explode("digests").alias("digest"))
     # counts and minima of fixed width: combined by hashing before the shuffle
     least = rows.groupBy("digest").agg(F.min("id").alias("owner"), F.max("id").alias("last"))
@@ -98,7 +100,7 @@ def repeated(docs: DataFrame) -> DataFrame:
     return shared.groupBy("id", "a").agg(F.collect_list(F.struct("digest", "owner")).alias("repeats"))
 
 
-def deduplicate(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, dict[str, str]]:
+def deduplicate(docs: DataFrame, least: int = LEAST, bits: int = BITS) -> tuple[DataFrame, dict[str, str]]:
     """Documents with the repeated runs cut out of ``text``, and the names of the added columns.
 
     ``n_chunks``; ``n_repeated`` chunks that repeat earlier ones; ``n_removed`` words cut; ``owners``: ids of the
@@ -107,7 +109,7 @@ def deduplicate(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, dict[st
     columns.need(docs, "doc_id", "text")
     names = {n: columns.free_name(docs, n) for n in ("n_chunks", "n_repeated", "n_removed", "owners")}
     rep, ida, ka = (columns.free_name(docs, n) for n in ("repeats", "order_key", "text_key"))
-    found = repeated(docs).select(F.col("id").alias(ida), F.col("a").alias(ka), F.col("repeats").alias(rep))
+    found = repeated(docs, bits).select(F.col("id").alias(ida), F.col("a").alias(ka), F.col("repeats").alias(rep))
     id_, a = _keys()
     joined = docs.withColumns({ida: id_, ka: a}).join(found, [ida, ka], "left").drop(ka)
     kinds = {"n_chunks": "long", "n_repeated": "long", "n_removed": "long", "owners": "array<long>"}
@@ -120,7 +122,7 @@ def deduplicate(docs: DataFrame, least: int = LEAST) -> tuple[DataFrame, dict[st
             nulls = batch.column("text").is_null().to_pylist()
             ids = batch.column(ida).to_pylist()
             for first, data, offsets in bytescan.blocks(batch.column("text")):
-                c = Chunks(data, offsets)
+                c = Chunks(data, offsets, bits)
                 raw = data.tobytes()
                 for i in range(offsets.size - 1):
                     text, row = _cut(c, i, raw[offsets[i] : offsets[i + 1]], int(offsets[i]), lists[first + i], ids[first + i], least)
@@ -168,9 +170,9 @@ def _cut(c: Chunks, i: int, raw: bytes, at: int, repeats: pa.Scalar, own_id: int
     return text, (hi - lo, n_repeated, removed, sorted(x for x in owners if x != NO_ID))
 
 
-def report(docs: DataFrame) -> DataFrame:
+def report(docs: DataFrame, bits: int = BITS) -> DataFrame:
     """Per document: doc_id, n_chunks, n_repeated, n_removed (words), repeated, owners, kept_sha256 (of the text left)."""
-    found, names = deduplicate(docs.select("doc_id", "text"))
+    found, names = deduplicate(docs.select("doc_id", "text"), bits=bits)
     return found.select(
         "doc_id",
         *[F.col(names[n]).alias(n) for n in ("n_chunks", "n_repeated", "n_removed")],

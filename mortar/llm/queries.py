@@ -62,7 +62,7 @@ def op7_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_chunk_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return chunks.report(table(spark, sf_dir, "documents"))
+    return chunks.report(table(spark, sf_dir, "documents"), chunks.FINE)
 
 
 @query

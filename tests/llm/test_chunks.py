@@ -89,3 +89,22 @@ def test_columns_stay_and_empty_table(spark):
     found, names = chunks.deduplicate(docs)
     assert found.columns[: len(docs.columns)] == docs.columns and names["owners"] == "_owners"
     assert chunks.report(empty(spark)).count() == 0
+
+
+def test_finer_cut_finds_passages_of_51_words():
+    rng = random.Random(7)
+    word = lambda: "".join(rng.choice("etaoinshrdlu") for _ in range(rng.randint(2, 9)))
+    prose = lambda n: " ".join(word() for _ in range(n))
+
+    def parts(text, bits):
+        ends = chunks.chunk_ends(chunks.np.frombuffer(text, chunks.np.uint8), chunks.np.array([0, len(text)]), bits).tolist()
+        return [text[a:b] for a, b in zip([0, *ends], ends)]
+
+    missed = {chunks.BITS: 0, chunks.FINE: 0}
+    for _ in range(300):
+        passage = prose(51)
+        first, second = (f"{prose(60)} {passage} {prose(60)}".encode() for _ in range(2))
+        for bits in missed:
+            own = set(parts(first, bits))
+            missed[bits] += sum(len(x.split()) for x in parts(second, bits) if x in own) < chunks.LEAST
+    assert missed[chunks.FINE] <= 2 < missed[chunks.BITS]
