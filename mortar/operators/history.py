@@ -32,8 +32,8 @@ def seed(reported: DataFrame, rows: DataFrame) -> DataFrame:
 
 
 def replace_slice(existing: DataFrame, new: DataFrame, deal_id: str) -> DataFrame:
-    """Everything but the deal's rows, plus the new rows of the deal."""
-    return existing.filter(F.col("DealID") != deal_id).unionByName(new, allowMissingColumns=True)
+    """Everything but the deal's rows, plus the new rows of the deal; stored rows without a deal stay."""
+    return existing.filter(~F.col("DealID").eqNullSafe(F.lit(deal_id))).unionByName(new, allowMissingColumns=True)
 
 
 def _cpr(smm: Column) -> Column:

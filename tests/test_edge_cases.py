@@ -79,3 +79,11 @@ def test_report_history_keeps_count_of_bad_lines(spark):
     rows, bad = history_table.read_report_history(spark, path, schema)
     assert sorted(tuple(r) for r in rows.collect()) == [("A", 1), ("C", 4)]
     assert bad.count() == 3
+
+
+def test_replacing_a_deal_keeps_rows_without_a_deal(spark):
+    from mortar.operators import history
+
+    old = spark.createDataFrame([("A", 1), (None, 2), ("B", 3)], "DealID string, n int")
+    new = spark.createDataFrame([("A", 4)], "DealID string, n int")
+    assert sorted(r["n"] for r in history.replace_slice(old, new, "A").collect()) == [2, 3, 4]
