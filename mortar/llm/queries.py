@@ -8,7 +8,8 @@ import public_tokenizers
 
 from pyspark.sql import DataFrame, SparkSession
 
-from mortar.llm import bpe, chunks, decontaminate, iblt, langid, line_dedup, quality, records, simhash, warc
+from mortar.llm import bpe, chunks, decontaminate, iblt, langid, line_dedup, prefix_trie, quality, records, secret_scan
+from mortar.llm import simhash, warc, whitening
 
 VOCABULARY = public_tokenizers.path("word_bpe_49k.json")
 
@@ -75,6 +76,21 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.classify(table(spark, sf_dir, "documents"))
 
 
+@query
+def op11_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.report(table(spark, sf_dir, "embeddings"))
+
+
+@query
+def op12_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.report(table(spark, sf_dir, "conversations"))
+
+
+@query
+def op13_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secret_scan.report(table(spark, sf_dir, "documents"))
+
+
 _WORDS = r"regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
 
 SQL["op4_decontamination"] = f"""
@@ -97,3 +113,42 @@ hit_items AS (
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
   sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM doc_words LEFT JOIN hit_words USING (doc_id) LEFT JOIN hit_items USING (doc_id)"""
+
+# CRC-32 bit by bit: a byte is xored in, then eight shifts (the -1 entries)
+_CRC = """xor(list_reduce([4294967295::BIGINT] || flatten(list_transform(string_split(CAST(c AS VARCHAR), ''),
+    lambda ch: [ascii(ch)::BIGINT] || list_transform(range(8), lambda i: -1::BIGINT))),
+  lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) ELSE xor(a >> 1, 3988292384 * (a & 1)) END), 4294967295)"""
+
+SQL["op12_prefix_trie"] = f"""
+WITH plain AS (
+  SELECT conv_id AS c, turn, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')) AS sig,
+    len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS w
+  FROM conversations WHERE conv_id IS NOT NULL),
+numbered AS (SELECT c, sig, w, row_number() OVER (PARTITION BY c ORDER BY turn NULLS FIRST, sig) AS p FROM plain),
+convs AS (
+  SELECT c, c - c % 20 AS f, CASE WHEN c % 20 = 0 THEN 0 ELSE {_CRC} % 4 END AS h FROM (SELECT DISTINCT c FROM plain)),
+rebuilt AS (
+  SELECT convs.c, 0 AS part, p, sig, w FROM convs JOIN numbered n ON n.c = convs.f AND n.p <= convs.h
+  UNION ALL SELECT convs.c, 1, p, sig, w FROM convs JOIN numbered n ON n.c = convs.c AND n.p > convs.h),
+turns AS (SELECT c, sig, w, row_number() OVER (PARTITION BY c ORDER BY part, p) AS d FROM rebuilt),
+members AS (
+  SELECT c, d, w, string_agg(sig, ',') OVER (PARTITION BY c ORDER BY d) AS k FROM turns
+  UNION ALL SELECT c, 0, 0, '' FROM convs),
+lengths AS (SELECT c, max(d) AS len FROM members GROUP BY c),
+nodes AS (
+  SELECT k, d, min(c) AS conv_id, count(*) AS n_convs, any_value(w) AS w,
+    coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE d = len), '') AS ends
+  FROM members JOIN lengths USING (c) GROUP BY k, d),
+parents AS (
+  SELECT n.k, m.k AS parent, p.conv_id AS parent_conv_id
+  FROM nodes n JOIN members m ON m.c = n.conv_id AND m.d = n.d - 1 JOIN nodes p ON p.k = m.k),
+children AS (SELECT parent AS k, count(*) AS n_children FROM parents GROUP BY parent),
+figures AS (
+  SELECT k, d, n.conv_id, n_convs, ends, coalesce(n_children, 0) AS n_children, (n_convs - 1) * w AS saved
+  FROM nodes n LEFT JOIN children USING (k)),
+subtrees AS (
+  SELECT a.k, count(*) FILTER (WHERE x.n_children = 0) AS n_leaves, sum(x.saved) AS saved_tokens
+  FROM figures x JOIN members a ON a.c = x.conv_id AND a.d <= x.d GROUP BY a.k)
+SELECT conv_id, CAST(d AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens,
+  sha256(ends) AS ends_sha256
+FROM figures LEFT JOIN parents USING (k) JOIN subtrees USING (k)"""
