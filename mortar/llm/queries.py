@@ -152,3 +152,15 @@ subtrees AS (
 SELECT conv_id, CAST(d AS BIGINT) AS depth, parent_conv_id, n_convs, n_children, n_leaves, CAST(saved_tokens AS BIGINT) AS saved_tokens,
   sha256(ends) AS ends_sha256
 FROM figures LEFT JOIN parents USING (k) JOIN subtrees USING (k)"""
+
+# base 32 of a hex digest: five hex digits are four letters
+SQL["op2_warc"] = """
+WITH payloads AS (
+  SELECT page_id, url, strlen(coalesce(html, '')) AS n, sha1(coalesce(html, '')) AS hex FROM pages),
+firsts AS (SELECT hex, min(page_id) AS first FROM payloads GROUP BY hex),
+marked AS (SELECT page_id, url, n, hex, CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to FROM payloads JOIN firsts USING (hex))
+SELECT page_id, n AS payload_bytes,
+  array_to_string(list_transform(range(32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    CAST((CAST('0x' || substr(hex, 5 * (j // 4) + 1, 5) AS BIGINT) >> (15 - 5 * (j % 4))) & 31 AS BIGINT) + 1, 1)), '') AS payload_digest,
+  CASE WHEN refers_to IS NULL THEN 'response' ELSE 'revisit' END AS record_type, refers_to, url AS target
+FROM marked"""

@@ -11,14 +11,19 @@ other pages have ``revisit`` records without a payload that name it.  Smaller on
 An archive is named anew by every attempt of a task and counts only if the stored manifest names it, so lost or repeated
 tasks leave no wrong records.
 
+Archives of others are read as well: warcinfo, request and other records and records of any name are rows without a
+page_id, and a revisit may name no record.
+
 Defined results: a null html is an empty payload; rows of one page_id and one payload are all responses if that id is
-the smallest; a page without an id is the response only where no page with the payload has an id.
+the smallest; a page without an id is the response only where no page with the payload has an id.  An id that occurs with
+several payloads has a record for each: the name of a record holds id and digest.
 """
 
 from __future__ import annotations
 
 import base64
 import hashlib
+import re
 import zlib
 from collections.abc import Iterator
 
@@ -33,17 +38,27 @@ CHUNK, ARCHIVE = 1 << 16, 1 << 28
 DATE = "2024-01-01T00:00:00Z"
 CHUNKS = (
     "file string, page_id long, record_id string, record_type string, refers_to_record string, target string, "
-    "chunk_no int, offset long, size int, payload_digest string, last boolean, chunk binary"
+    "chunk_no int, offset long, size int, payload_digest string, declared_digest string, last boolean, chunk binary"
 )
+SIZE = [c.split()[0] for c in CHUNKS.split(", ")].index("size")
 
 
 def base32_sha1(digest: bytes) -> str:
     return base64.b32encode(digest).decode()
 
 
-def record_id(page_id: int | None, nth: int) -> str:
+def record_id(page_id: int | None, digest: str, nth: int) -> str:
     """Name of a page's record; pages without an id are told apart by their place in the archive."""
-    return f"<urn:page:{'none-' + str(nth) if page_id is None else page_id}>"
+    return f"<urn:page:{f'none-{nth}' if page_id is None else page_id}:{digest}>"
+
+
+_OWN_ID = re.compile("<urn:page:(-?[0-9]+):[A-Z2-7]+>")
+
+
+def page_of(record: str) -> int | None:
+    """Page of a record name; none for pages without an id and records that ``write`` has not named."""
+    own = _OWN_ID.fullmatch(record)
+    return int(own[1]) if own else None
 
 
 def decide(pages: DataFrame, least: int = 0) -> DataFrame:
@@ -121,12 +136,13 @@ def _put(out, data: bytes) -> int:
 def _head(page: int | None, url: str | None, size: int, sha1: str, refers: int | None, nth: int) -> bytes:
     """WARC and HTTP header of a record."""
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
+    digest = base32_sha1(bytes.fromhex(sha1))
     lines = [
         "WARC/1.1",
         f"WARC-Type: {'response' if refers is None else 'revisit'}",
-        f"WARC-Record-ID: {record_id(page, nth)}",
+        f"WARC-Record-ID: {record_id(page, digest, nth)}",
         f"WARC-Date: {DATE}",
-        f"WARC-Payload-Digest: sha1:{base32_sha1(bytes.fromhex(sha1))}",
+        f"WARC-Payload-Digest: sha1:{digest}",
         "Content-Type: application/http; msgtype=response",
         f"Content-Length: {len(http) + (size if refers is None else 0)}",
     ]
@@ -134,7 +150,7 @@ def _head(page: int | None, url: str | None, size: int, sha1: str, refers: int |
         lines.append("WARC-Target-URI: " + "".join(c if c.isprintable() else f"%{ord(c):02X}" for c in url))
     if refers is not None:
         lines.append("WARC-Profile: http://netpreserve.org/warc/1.1/revisit/identical-payload-digest")
-        lines.append(f"WARC-Refers-To: {record_id(refers, 0)}")
+        lines.append(f"WARC-Refers-To: {record_id(refers, digest, 0)}")
     return "\r\n".join(lines).encode() + b"\r\n\r\n" + http
 
 
@@ -199,8 +215,9 @@ def chunk_rows(stream, name: str, chunk: int, with_bytes: bool) -> Iterator[tupl
         http = source.until(b"\r\n\r\n") if fields.get("content-type", "").startswith("application/http") else b""
         left = int(fields["content-length"]) - len(http)
         rid, kind = fields["warc-record-id"], fields["warc-type"]
-        page = rid.removeprefix("<urn:page:").removesuffix(">")
-        known = (name, None if page.startswith("none") else int(page), rid, kind, fields.get("warc-refers-to"), fields.get("warc-target-uri"))
+        known = (name, page_of(rid), rid, kind, fields.get("warc-refers-to"), fields.get("warc-target-uri"))
+        declared = fields.get("warc-payload-digest", "")
+        declared = declared.removeprefix("sha1:") if declared.startswith("sha1:") else None
         running, number, offset = hashlib.sha1(), 0, 0
         while True:
             part = source.take(min(chunk, left))
@@ -210,11 +227,13 @@ def chunk_rows(stream, name: str, chunk: int, with_bytes: bool) -> Iterator[tupl
             left -= len(part)
             # a copy of the running state: the digest of all bytes so far
             digest = base32_sha1(running.copy().digest())
-            yield (*known, number, offset, len(part), digest, left == 0, part if with_bytes else None)
+            yield (*known, number, offset, len(part), digest, declared, left == 0, part if with_bytes else None)
             number, offset = number + 1, offset + len(part)
             if left == 0:
                 break
-        if kind == "response" and fields.get("warc-payload-digest") not in (None, f"sha1:{digest}"):
+        # a payload that came in transfer chunks was digested without their marks
+        plain = b"\r\ntransfer-encoding:" not in http.lower()
+        if kind == "response" and plain and declared not in (None, digest):
             raise ValueError(f"payload of {rid} does not match its digest")
         if source.take(4) != b"\r\n\r\n":
             raise ValueError(f"record {rid} has no end")
@@ -237,7 +256,7 @@ def read(spark: SparkSession, folder: str, manifest: DataFrame, chunk: int = CHU
                 with system.open_input_stream(f"{base}/{name}", compression=None, buffer_size=1 << 20) as stream:
                     for row in chunk_rows(stream, name, chunk, with_bytes):
                         held.append(row)
-                        size += 256 + (row[8] if with_bytes else 0)
+                        size += 256 + (row[SIZE] if with_bytes else 0)
                         if size >= 1 << 20:
                             yield batch(held)
                             held, size = [], 0
@@ -249,14 +268,17 @@ def read(spark: SparkSession, folder: str, manifest: DataFrame, chunk: int = CHU
 
 
 def records(chunks: DataFrame) -> DataFrame:
-    """One row per record from its last chunk; revisits take size and digest from the record they refer to."""
+    """One row per record from its last chunk.
+
+    Revisits take their size from the record they refer to, whose digest must be the one they declare.
+    """
     ends = chunks.filter("last").select(
         "page_id", "record_id", "record_type", "refers_to_record", "target",
-        (F.col("offset") + F.col("size")).alias("n"), "payload_digest",
+        (F.col("offset") + F.col("size")).cast("long").alias("n"), "payload_digest", "declared_digest",
     )
     ends = scratch.stored(ends, "records")
     columns_ = ["page_id", "n", "payload_digest", "record_type", "refers_to", "target"]
-    whole = ends.filter("record_type = 'response' AND page_id IS NOT NULL").select(
+    whole = ends.filter("record_type = 'response'").select(
         F.col("record_id").alias("refers_to_record"), F.col("page_id").alias("refers_to"),
         F.col("n").alias("full_n"), F.col("payload_digest").alias("full_digest"),
     ).dropDuplicates(["refers_to_record"])
@@ -264,8 +286,12 @@ def records(chunks: DataFrame) -> DataFrame:
     whole = scratch.stored(whole, "responses")
     alone = ends.filter("refers_to_record IS NULL").withColumn("refers_to", F.lit(None).cast("long"))
     revisits = ends.filter("refers_to_record IS NOT NULL").join(whole, "refers_to_record", "left")
-    revisits = revisits.withColumn("n", F.coalesce("full_n", "n"))
-    revisits = revisits.withColumn("payload_digest", F.coalesce("full_digest", "payload_digest"))
+    differs = F.col("full_digest") != F.col("declared_digest")
+    wrong = F.concat(F.lit("payload of "), "record_id", F.lit(" is not that of the record it refers to"))
+    revisits = revisits.withColumns({
+        "n": F.coalesce("full_n", "n"),
+        "payload_digest": F.when(differs, F.raise_error(wrong)).otherwise(F.coalesce("full_digest", "payload_digest")),
+    })
     return alone.select(*columns_).unionByName(revisits.select(*columns_)).withColumnRenamed("n", "payload_bytes")
 
 
