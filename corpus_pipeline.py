@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mortar.llm import bpe, decontaminate, line_dedup, quality, scratch, similar
+from mortar.llm import bpe, decontaminate, line_dedup, quality, scratch, simhash
 from mortar.llm.queries import VOCABULARY
 
 
@@ -20,8 +20,8 @@ def without_copied_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
 
 
 def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of documents whose five-word shingles have similarity 0.8 or more the one with the least id."""
-    return similar.one_of_each_group(docs)
+    """Of documents whose SimHash fingerprints are linked (four-word shingles, four bits) the one with the least id."""
+    return simhash.one_of_each_group(docs)
 
 
 def decontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
