@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mortar.llm import bytescan, columns, scratch
+from mortar.llm import bytescan, columns, scratch, worker
 
 WORD = "[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
 WIDTH = 10
@@ -109,24 +109,13 @@ def rolling(words: np.ndarray, longest: int) -> dict[int, np.ndarray]:
     return out
 
 
-_SETS: dict[str, WindowSet] = {}
-
-
-def _window_set(token: str, shared) -> WindowSet:
-    """One set per broadcast and worker."""
-    if token not in _SETS:
-        _SETS.clear()
-        _SETS[token] = WindowSet(shared.value)
-    return _SETS[token]
-
-
 def _scan_pass(df: DataFrame, windows: list[tuple[bytes, list[str]]], names: dict[str, str], first: bool) -> DataFrame:
     shared, token = df.sparkSession.sparkContext.broadcast(windows), uuid.uuid4().hex
     added = f"`{names['n_words']}` long, `{names['spans']}` array<array<int>>, `{names['items']}` array<string>"
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema if f.name not in names.values())
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        windows_ = _window_set(token, shared)
+        windows_ = worker.held(token, lambda: WindowSet(shared.value))
         for batch in batches:
             n_words, spans, items = [], [], []
             for _, data, offsets in bytescan.blocks(batch.column("text")):

@@ -26,7 +26,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mortar.llm import bytescan, columns
+from mortar.llm import bytescan, columns, worker
 
 ROWS, CHARS, BLOCK, MOST_TABLE, MOST_LANGUAGES = 128, 192, 1024, 256 << 20, 1000
 UNDETERMINED = "und"
@@ -166,9 +166,6 @@ def fit(labelled: DataFrame, rows: int = ROWS, chars: int = CHARS) -> Model | No
     return Model(samples) if samples else None
 
 
-_MODELS: dict[str, Model] = {}
-
-
 def predict(docs: DataFrame, model: Model | None, lang: str = "lang_pred", score: str = "score") -> DataFrame:
     """Add the language and score of every whole text; columns of these names are replaced."""
     columns.need(docs, "text")
@@ -180,10 +177,7 @@ def predict(docs: DataFrame, model: Model | None, lang: str = "lang_pred", score
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema if f.name not in (lang, score)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if token not in _MODELS:
-            _MODELS.clear()
-            _MODELS[token] = shared.value
-        own = _MODELS[token]
+        own = worker.held(token, lambda: shared.value)
         for batch in bytescan.sliced(batches, "text"):
             named, scores = [], []
             for _, data, offsets in bytescan.blocks(pc.utf8_lower(batch.column("text"))):

@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mortar.llm import bytescan, columns
+from mortar.llm import bytescan, columns, worker
 
 SAMPLE, WIDTH, KEEP = 4096, 2048, 0.35
 #: Belief in a document on which no labeller votes.
@@ -262,9 +262,6 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     return Model(prior, accuracy, train(x, posterior(votes, prior, accuracy)))
 
 
-_MODELS: dict[str, Model] = {}
-
-
 def score(docs: DataFrame, model: Model | None) -> tuple[DataFrame, dict[str, str]]:
     """Documents with score and weak_label (the posterior of their votes), and the names of these columns."""
     columns.need(docs, "text")
@@ -275,10 +272,7 @@ def score(docs: DataFrame, model: Model | None) -> tuple[DataFrame, dict[str, st
     kept = [f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        if token not in _MODELS:
-            _MODELS.clear()
-            _MODELS[token] = shared.value
-        own = _MODELS[token]
+        own = worker.held(token, lambda: shared.value)
         for batch in bytescan.sliced(batches, "text"):
             scores, weak = [], []
             for _, data, offsets in bytescan.blocks(batch.column("text")):

@@ -141,7 +141,6 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = END_ID) -
 
     def shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder = bpe.worker_encoder(token, shared)
-        end = np.uint32(end_id).tobytes()
         system, base = scratch.file_system(folder)
         system.create_dir(base, recursive=True)
         shard, out, name, at, place, before = None, None, "", 0, 0, 0
@@ -161,12 +160,13 @@ def write(docs: DataFrame, folder: str, vocabulary: str, end_id: int = END_ID) -
                         shard, at, place, before = shard_of[first], 0, 0, 0
                         name = scratch.attempt_name(f"shard-{shard:05d}", ".rec")
                         out = system.open_output_stream(f"{base}/{name}", compression=None)
-                    payloads = [encoder.encode(t) + end for t in texts[first:last]]
-                    if width == 2:
-                        payloads = [np.frombuffer(p, "<u4").astype("<u2").tobytes() for p in payloads]
-                    rows = []
-                    for doc, payload, record in zip(ids[first:last], payloads, frame(payloads)):
-                        out.write(record)
+                    coded, bounds = encoder.encode_many(texts[first:last])
+                    packed = np.insert(coded, bounds[1:], end_id).astype(f"<u{width}").tobytes()
+                    bounds = ((bounds + np.arange(bounds.size)) * width).tolist()
+                    payloads = [packed[a:b] for a, b in zip(bounds, bounds[1:])]
+                    framed, rows = frame(payloads), []
+                    out.write(b"".join(framed))
+                    for doc, payload, record in zip(ids[first:last], payloads, framed):
                         n = len(payload) // width
                         rows.append((shard, name, place, doc, at, len(payload), n, before))
                         at, place, before = at + len(record), place + 1, before + n

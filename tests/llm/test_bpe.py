@@ -53,14 +53,21 @@ def test_every_prefix_has_a_compatible_last_token(encoder):
 
 
 def test_small_caches_change_nothing(library, monkeypatch):
-    monkeypatch.setattr(bpe, "MOST_PIECES", 3)
-    monkeypatch.setattr(bpe, "MOST_WORDS", 2)
-    monkeypatch.setattr(bpe, "MOST_PAIRS", 5)
-    monkeypatch.setattr(bpe, "MOST_STEPS", 5)
+    monkeypatch.setattr(bpe, "MOST_WORDS", 3)
+    monkeypatch.setattr(bpe, "MOST_PAIRS", 3)
+    monkeypatch.setattr(bpe, "MOST_STEPS", 3)
+    monkeypatch.setattr(bpe, "LONG_WORD", 4)
     with open(PATH, "rb") as f:
         small = bpe.Encoder(f.read())
-    text = "one two three four five, one two three four five six seven eight " * 3
-    assert ids(small, text) == library.encode(text, add_special_tokens=False).ids
+    for text in ("one two", "one two three four five, one two three four five six seven eight " * 3, "it's 'tis ''s 12 é's we'll'd 're"):
+        assert ids(small, text) == library.encode(text, add_special_tokens=False).ids
+
+
+def test_texts_encoded_together(encoder, library):
+    texts = ["it'", "s", None, "", "a'l", "l 'r", "e<|endoftext|>'s", "<|endoftext|>", "12", "3\u0378x", "\x1c'd", "x" * 500 + " it's"] * 3
+    flat, bounds = encoder.encode_many(texts)
+    got = [flat[a:b].tolist() for a, b in zip(bounds, bounds[1:])]
+    assert got == [library.encode(t or "", add_special_tokens=False).ids for t in texts]
 
 
 def test_digests_equal_the_library(spark, library):
