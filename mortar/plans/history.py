@@ -31,12 +31,24 @@ register(
 )
 
 
+#: columns that only later deliveries have
+_LATER = ["CPR_12m", "CDR_1m"]
+
+
 def _stored(x: Frames):
-    """The same through a stored history: two batches merged one after the other, the second one twice."""
+    """The same through a stored history: batches merged one after the other, the second one twice.
+
+    The first delivery lacks two columns, and a deal that is stored in between is replaced by nothing.
+    """
     path = work_folder(x.spark, "history")
     rows = x.reported()
-    for batch in (0, 1, 1):
-        history_table.merge_into(rows.filter(F.col("Batch") == batch), path, KEY, ["Delivery"])
+    first = rows.filter("Batch = 0").drop(*_LATER)
+    history_table.merge_into(first, path, KEY, ["Delivery"])
+    history_table.merge_into(first.filter("DealID = 'AVON2'").withColumn("DealID", F.lit("SOLD")), path, KEY, ["Delivery"])
+    for _ in range(2):
+        history_table.merge_into(rows.filter("Batch = 1"), path, KEY, ["Delivery"])
+    history_table.replace_deal(rows.limit(0), path, "SOLD", KEY)
+    history_table.remove_old(x.spark, path, 1)
     return history_table.read_history(x.spark, path)
 
 
@@ -44,7 +56,10 @@ register(
     "history_store",
     lambda x: present(_stored(x).select(*_KEPT)),
     query(
-        f"SELECT * REPLACE ({d('CurrentBalance')} AS CurrentBalance) FROM (SELECT {', '.join(_KEPT)} FROM {NEWEST})", REPORTED
+        f"SELECT * REPLACE ({d('CurrentBalance')} AS CurrentBalance) FROM (SELECT {', '.join(c for c in _KEPT if c not in _LATER)}, "
+        + ", ".join(f"CASE WHEN Batch > 0 THEN {c} END AS {c}" for c in _LATER)
+        + f" FROM {NEWEST})",
+        REPORTED,
     ),
 )
 
