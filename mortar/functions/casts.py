@@ -31,12 +31,14 @@ def iso_date(c: Column) -> Column:
     return F.when(shaped, c.try_cast("date"))
 
 
-#: what counts as a figure: Spark's own cast also takes a type suffix (``12d``)
+#: what counts as a figure: Spark's own cast also takes a type suffix (``12d``), words for infinity, and hexadecimals
 _FIGURE = r"^\s*[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?\s*$"
 
 
 def _figure(c: Column) -> Column:
-    return F.when(c.rlike(_FIGURE), c.try_cast("double"))
+    """What ends in a digit and has no ``x`` needs no pattern: the cast takes nothing else of that kind."""
+    plain = F.right(c, F.lit(1)).between("0", "9") & ~c.contains("x") & ~c.contains("X")
+    return F.when(plain | c.rlike(_FIGURE), c.try_cast("double"))
 
 
 def number(c: Column) -> Column:
@@ -55,9 +57,12 @@ def decode(c: Column, labels: dict[str, str]) -> Column:
 
 
 def decode_number(c: Column, labels: dict[str, str]) -> Column:
-    """As :func:`decode`, for codes delivered as any spelling of a whole number (``3``, ``3.0``)."""
+    """As :func:`decode`, for codes delivered as any spelling of a whole number (``3``, ``3.0``).
+
+    The plain spelling is looked up as text; only others are read as numbers.
+    """
     pairs = ", ".join(f"{code}D, {_quoted(label)}" for code, label in labels.items())
-    return F.try_element_at(F.expr(f"map({pairs})"), number(c))
+    return F.coalesce(decode(c, labels), F.try_element_at(F.expr(f"map({pairs})"), number(c)))
 
 
 def parse_number(c: Column) -> Column:
@@ -65,4 +70,4 @@ def parse_number(c: Column) -> Column:
 
     Words for "none" (``N/A``, ``null``, ``-``, blank) are no numbers and give NULL.
     """
-    return _figure(F.regexp_replace(F.trim(c), "[,%£]|GBP", ""))
+    return _figure(F.translate(F.replace(F.trim(c), F.lit("GBP"), F.lit("")), ",%£", ""))

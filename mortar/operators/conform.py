@@ -16,6 +16,7 @@ from mortar.functions.casts import iso_date, money, ratio, whole
 from mortar.functions.dates import quarter_end
 from mortar.operators.grouping import pick_one
 from mortar.sources.seeds import REF_TABLES, ref_table
+from mortar.sources.tape import with_fields
 
 
 @dataclass(frozen=True)
@@ -90,6 +91,13 @@ FACT_PLAIN = {
 TIE_BREAK = ("AR8", "AR7", "AR2", "AR5", "AR6", "AR66", "AR55")
 
 
+#: every tape field that the star is made of; one that no file delivers is NULL
+FIELDS = sorted(
+    {f for plain in (DIM_PLAIN, DIM_EXTENDED_PLAIN, FACT_PLAIN) for f, _ in plain.values()}
+    | {f for decoded in (DIM_DECODED, DIM_EXTENDED_DECODED, FACT_DECODED) for _, f, _ in decoded}
+)
+
+
 def _deals(formats: Sequence[DealFormat], test) -> list[str]:
     return [f.deal_id for f in formats if test(f)]
 
@@ -138,6 +146,7 @@ def _conform(tape: DataFrame, formats: Sequence[DealFormat], plain: dict, decode
 
 def deal_rows(tape: DataFrame, formats: Sequence[DealFormat]) -> DataFrame:
     """Rows of the deals that have a format; rows without a loan id only where the deal keeps them."""
+    tape = with_fields(tape, FIELDS)
     keeps = _by_deal(formats, lambda f: f.keep_null_ids, F.lit(True), F.col("AR3").isNotNull())
     return tape.filter(F.col("DealID").isin(_deals(formats, lambda f: True)) & keeps)
 
@@ -185,7 +194,7 @@ CAST_FIELDS = {name: spec for name, spec in {**DIM_PLAIN, **FACT_PLAIN}.items()
 
 def cast_failures(tape: DataFrame, formats=FORMATS) -> DataFrame:
     """Per deal and column: delivered values, and those the tolerant cast turned into NULL."""
-    counts = []
+    tape, counts = with_fields(tape, FIELDS), []
     for name, (field, kind) in CAST_FIELDS.items():
         typed = None
         for fmt in formats:

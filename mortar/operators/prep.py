@@ -14,6 +14,7 @@ from mortar.functions.averages import divide, wavg_strict
 from mortar.functions.casts import decode, decode_number, money, number
 from mortar.functions.dates import month_steps, parse_date, parse_origination, period
 from mortar.sources.seeds import DQ_BUCKETS, PREP_LABELS
+from mortar.sources.tape import with_fields
 
 TAPE_SOURCE = "Tape (loan-level)"
 GROUP = ("DealID", "CutoffDate")
@@ -33,6 +34,14 @@ DECODED = {
 }
 
 
+# fixed values: tape fields of loans and of exits; one that no file delivers is NULL
+LOAN_FIELDS = (
+    "AR1 AR2 AR3 AR4 AR5 AR17 AR22 AR26 AR27 AR55 AR56 AR58 AR59 AR61 AR66 AR67 AR69 AR71 AR97 AR100 AR107 AR108 AR109 AR110"
+    " AR128 AR130 AR131 AR135 AR136 AR141 AR143 AR166 AR169 AR170 AR174"
+).split()
+EXIT_FIELDS = "AR1 AR2 AR8 AR166 AR175 AR177 AR178 AR179 AR180".split()
+
+
 def _label(name: str, default: str | None = None) -> Column:
     field, labels, fallback = DECODED[name]
     return F.coalesce(decode_number(F.col(field), PREP_LABELS[labels]), F.lit(default or fallback))
@@ -56,6 +65,7 @@ def prep_loans(tape: DataFrame, tape_keys: Sequence[str] | None = None) -> DataF
     ``tape_keys`` name the columns that identify a tape: its cut-off is the latest ``AR1`` on it.
     Without them every row's own ``AR1`` is taken, which is the same wherever a tape has one cut-off.
     """
+    tape = with_fields(tape, LOAN_FIELDS)
     balance = money(F.col("AR67"))
     region = F.coalesce(decode(F.col("AR128"), PREP_LABELS["region"]), F.col("AR128"), F.lit(bands.UNKNOWN))
     base = _cutoff(tape.filter(F.col("AR3").isNotNull()), tape_keys).select(
@@ -126,7 +136,7 @@ def prep_loans(tape: DataFrame, tape_keys: Sequence[str] | None = None) -> DataF
 def prep_exits(exits: DataFrame) -> DataFrame:
     """Curated exits (13 columns and ``DealID``) from the sales, redemptions and repurchases rows."""
     blank = F.col("PropertyID").isNull() | F.col("PropertyID").isin("nan", "None", "")
-    base = exits.select(
+    base = with_fields(exits, EXIT_FIELDS).select(
         "DealID",
         F.col("AR2").alias("Pool"),
         F.col("AR8").alias("PropertyID"),
@@ -151,7 +161,7 @@ def prep_exits(exits: DataFrame) -> DataFrame:
 
 def exits_sheet(tape: DataFrame) -> DataFrame:
     """Tape rows of loans that left the pool: default, redeemed, repurchased."""
-    return tape.filter(F.col("AR166").isin("3", "4", "5"))
+    return with_fields(tape, EXIT_FIELDS).filter(F.col("AR166").isin("3", "4", "5"))
 
 
 def exits_view(fact: DataFrame) -> DataFrame:

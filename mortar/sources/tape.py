@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import csv
 import re
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from functools import reduce
 
 from pyspark.errors import AnalysisException
@@ -206,6 +206,11 @@ def read_deal_tape(registry: DataFrame, folder: str, deal_id: str, period: str =
 # ------------------------------------------------------------------ writers
 
 
+def with_fields(df: DataFrame, fields: Iterable[str]) -> DataFrame:
+    """The tape with a NULL column for every field that no file delivers."""
+    return df.withColumns({f: F.lit(None).cast("string") for f in sorted(set(fields) - set(df.columns))})
+
+
 def write_staging(df: DataFrame, path: str, append: bool = False) -> None:
     """Staged rows partitioned by deal; without ``append`` only the delivered deals are replaced."""
     writer = df.write.partitionBy("DealID").option("partitionOverwriteMode", "dynamic")
