@@ -75,7 +75,8 @@ def _by_shape(c: Column) -> Column:
 
 def parse_date(c: Column) -> Column:
     """``yyyy-MM-dd`` or another usual spelling; month before day unless only the other way round is a date."""
-    return F.coalesce(iso_date(c), _by_shape(c))
+    plain = iso_date(c)
+    return F.when(c.isNull() | plain.isNotNull(), plain).otherwise(_by_shape(c))
 
 
 def parse_origination(c: Column) -> Column:

@@ -9,7 +9,9 @@ from mortar.plans.frames import Frames, present
 from mortar.plans.loans import G, POOL_SUMMARY_COLUMNS
 from mortar.plans.registry import register
 from mortar.plans.sqltext import NOTES, STAR, TAPE, d, hd, he, query, r, ratio, values
+from mortar.session import work_folder
 from mortar.sources import seeds
+from mortar.sources.ordered import read_ordered, write_ordered
 
 _SPELLINGS = values("spellings", "raw, canonical", seeds.rating_spellings().items())
 
@@ -96,6 +98,25 @@ register(
         NOTES, EXPORT, values("config", "DealID, TrancheID, Rating, Seniority, WAL", seeds.TRANCHE_CONFIG),
     ),
 )
+_PLACED = ["DealID", "Attachment", "NoteID", "CutoffDate"]
+
+
+def _in_order(x: Frames):
+    """The export written by deal, the most junior notes first, and read back with the place of every row."""
+    path, rows = work_folder(x.spark, "export"), rwa.rwa_export(x.notes())
+    write_ordered(rows, path, ["DealID", F.col("Attachment").desc_nulls_last(), "NoteID", "CutoffDate"])
+    return read_ordered(x.spark, path, rows.schema, "Place")
+
+
+register(
+    "rwa_export_ordered",
+    lambda x: present(_in_order(x).select(*_PLACED, "Place")),
+    query(
+        f"SELECT DealID, {d('Attachment')} AS Attachment, NoteID, CutoffDate, row_number() OVER (ORDER BY DealID NULLS FIRST,"
+        " Attachment DESC NULLS LAST, NoteID NULLS FIRST, CutoffDate NULLS FIRST) AS Place FROM notes",
+        NOTES,
+    ),
+)
 register(
     "rwa_deal",
     lambda x: present(rwa.rwa_deal(_tranches(x)), TotalRWA=2, CapitalRequired=2),

@@ -17,6 +17,7 @@ from mortar.sources import seeds
 from mortar.sources import tape as tp
 from mortar.sources.sample_tape import LOAN_FIELDS, RAW_NULLS
 from mortar.streaming import upsert as stream
+from mortar.streaming.keyed_state import KeyedState
 
 # ------------------------------------------------------------------ staging
 
@@ -509,12 +510,34 @@ def _stream_upsert(x: Frames):
     return current.groupBy("DealID", "CutoffDate").agg(F.count("*").alias("Rows"), F.sum("Cents").alias("Cents"))
 
 
-register(
-    "stream_tape_upsert",
-    _stream_upsert,
-    "SELECT DealID, CutoffDate, count(*) AS Rows, CAST(sum(Cents) AS BIGINT) AS Cents FROM (SELECT"
-    " CASE WHEN o_orderkey % 2 = 0 THEN 'AVON2' ELSE 'BLETCHLEY' END AS DealID, o_custkey,"
-    " last_day(CAST(o_orderdate AS DATE)) AS CutoffDate, CAST(round(o_totalprice * 100) AS BIGINT) AS Cents, o_orderkey"
-    " FROM orders QUALIFY row_number() OVER (PARTITION BY DealID, o_custkey, CutoffDate ORDER BY o_orderkey DESC) = 1)"
-    " GROUP BY DealID, CutoffDate",
-)
+def _stream_state(x: Frames):
+    """The same from streaming state: half of the files, a fold, then the rest with the first half delivered again."""
+    orders, arrived = x.spark.read.parquet(f"{x.sf_dir}/orders.parquet"), work_folder(x.spark, "arrived")
+    deal = F.when(F.col("o_orderkey") % 2 == 0, "AVON2").otherwise("BLETCHLEY")
+    rows = orders.select(
+        deal.alias("DealID"), F.col("o_custkey").alias("BorrowerID"), F.last_day("o_orderdate").alias("CutoffDate"),
+        F.col("o_orderkey").alias("Delivery"), F.round(F.col("o_totalprice") * 100).cast("bigint").alias("Cents"),
+    )
+    late = F.pmod(F.xxhash64("Delivery"), F.lit(2)) == 0
+    state = KeyedState(work_folder(x.spark, "state"), ["DealID", "BorrowerID", "CutoffDate"], ["Delivery"])
+    rows.filter(~late).repartition(2, "CutoffDate").write.parquet(arrived)
+    source = x.spark.readStream.schema(rows.schema).option("maxFilesPerTrigger", 1).parquet(arrived)
+    state.run(source)
+    state.fold(x.spark, rows.schema)
+    rows.repartition(2, "Delivery").write.mode("append").parquet(arrived)
+    state.run(source)
+    return state.current(x.spark, rows.schema).groupBy("DealID", "CutoffDate").agg(
+        F.count("*").alias("Rows"), F.sum("Cents").alias("Cents")
+    )
+
+
+for _name, _build in (("stream_tape_upsert", _stream_upsert), ("stream_keyed_state", _stream_state)):
+    register(
+        _name,
+        _build,
+        "SELECT DealID, CutoffDate, count(*) AS Rows, CAST(sum(Cents) AS BIGINT) AS Cents FROM (SELECT"
+        " CASE WHEN o_orderkey % 2 = 0 THEN 'AVON2' ELSE 'BLETCHLEY' END AS DealID, o_custkey,"
+        " last_day(CAST(o_orderdate AS DATE)) AS CutoffDate, CAST(round(o_totalprice * 100) AS BIGINT) AS Cents, o_orderkey"
+        " FROM orders QUALIFY row_number() OVER (PARTITION BY DealID, o_custkey, CutoffDate ORDER BY o_orderkey DESC) = 1)"
+        " GROUP BY DealID, CutoffDate",
+    )

@@ -11,6 +11,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from mortar.functions.casts import null_spellings
+from mortar.sources.ordered import write_ordered
 
 # fixed values: words that mark a description row, and how many marks it takes
 DESCRIPTION_WORDS = ("Pool", "Identifier", "Date", "Loan", "Balance")
@@ -175,10 +176,11 @@ def find_deal(registry: DataFrame, deal_id: str) -> DataFrame:
     return registry.filter(F.upper("DealID") == deal_id.upper())
 
 
-def resolve_tape(registry: DataFrame, folder: str, deal_id: str, period: str = "*") -> str:
+def resolve_tape(registry: DataFrame, folder: str, deal_id: str, period: str = "*", name: str | None = None) -> str:
     """Path of the one tape file of a registered deal (its row is a setting, so it is read here).
 
-    Refuses an unknown or inactive deal, and a pattern that no file or more than one file matches.
+    ``name`` chooses among the files that match: a part of the file name, in any case.  Refuses an unknown or inactive
+    deal, and a choice of no file or of more than one.
     """
     row = find_deal(registry, deal_id).first()
     if row is None:
@@ -188,7 +190,11 @@ def resolve_tape(registry: DataFrame, folder: str, deal_id: str, period: str = "
     spark = registry.sparkSession
     glob = row["tape_pattern"].replace("{period}", period)
     try:
-        found = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder).select("path").limit(3).collect()
+        files = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(folder).select("path")
+        if name:
+            glob = f"{glob} with {name}"
+            files = files.filter(F.contains(F.lower(F.element_at(F.split("path", "/"), -1)), F.lit(name.lower())))
+        found = files.limit(3).collect()
     except AnalysisException:
         found = []
     if not found:
@@ -198,9 +204,9 @@ def resolve_tape(registry: DataFrame, folder: str, deal_id: str, period: str = "
     return found[0]["path"]
 
 
-def read_deal_tape(registry: DataFrame, folder: str, deal_id: str, period: str = "*") -> DataFrame:
+def read_deal_tape(registry: DataFrame, folder: str, deal_id: str, period: str = "*", name: str | None = None) -> DataFrame:
     """Rows of the tape that the registry resolves to."""
-    return read_tape(registry.sparkSession, resolve_tape(registry, folder, deal_id, period))
+    return read_tape(registry.sparkSession, resolve_tape(registry, folder, deal_id, period, name))
 
 
 # ------------------------------------------------------------------ writers
@@ -223,5 +229,11 @@ def read_staging(spark: SparkSession, path: str, fields: Sequence[str]) -> DataF
     return spark.read.schema(schema).parquet(path)
 
 
+def write_tranches(df: DataFrame, path: str) -> None:
+    """Replace the tranche table: its own columns with their types, sorted by deal and from the most junior up."""
+    typed = df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in TRANCHE_SCHEMA])
+    write_ordered(typed, path, ["DealID", F.col("Attachment").desc_nulls_last(), "TrancheID", "CutoffDate"], "csv")
+
+
 def write_csv(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").option("header", True).csv(path)
