@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from mortar.llm import bytescan, columns
+from mortar.llm import bytescan, columns, scratch
 
 BITS, LEAST = 5, 16
 #: Of the query: the coarser cut leaves fewer than LEAST words in whole chunks of some 51-word passages.
@@ -85,8 +85,13 @@ def digests(docs: DataFrame, bits: int = BITS) -> DataFrame:
 
 
 def _keys() -> list[Column]:
-    """Order key (documents without an id last) and text key of a row."""
-    return [F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), F.xxhash64(F.col("text").isNull(), "text").alias("a")]
+    """Order key (documents without an id last) and 16 bits of the text's hash.
+
+    The bits keep the rows of one id apart, so that no list grows with them.  Rows that share id and bits share a list:
+    that changes nothing, since a digest counts in a row only where its text has that chunk.
+    """
+    bits = F.shiftrightunsigned(F.xxhash64(F.col("text").isNull(), "text"), 48)
+    return [F.coalesce("doc_id", F.lit(NO_ID)).alias("id"), bits.alias("a")]
 
 
 def repeated(docs: DataFrame, bits: int = BITS) -> DataFrame:
@@ -95,7 +100,8 @@ def repeated(docs: DataFrame, bits: int = BITS) -> DataFrame:
     rows = rows.select("id", "a", F.explode("digests").alias("digest"))
     # counts and minima of fixed width: combined by hashing before the shuffle
     least = rows.groupBy("digest").agg(F.min("id").alias("owner"), F.max("id").alias("last"))
-    least = least.filter("owner < last").drop("last")
+    # written, so that the join has a plain shuffle on both sides: Spark can then split a chunk that most documents have
+    least = scratch.stored(least.filter("owner < last").drop("last"), "owners")
     shared = rows.join(least, "digest").filter("id > owner")
     return shared.groupBy("id", "a").agg(F.collect_list(F.struct("digest", "owner")).alias("repeats"))
 
