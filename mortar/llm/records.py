@@ -33,7 +33,7 @@ END_ID = 1
 #: Bytes that run side by side in checksums.
 SEGMENT = 1024
 #: Characters of text that are framed together.
-BLOCK = 4 << 20
+BLOCK = 1 << 20
 _MASK = 0xA282EAD8
 INDEX = "shard int, file string, place int, doc_id long, at long, bytes long, n_ids long, ids_before long"
 
