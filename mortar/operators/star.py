@@ -16,16 +16,24 @@ def fact_loan_period(tape: DataFrame, formats=FORMATS) -> DataFrame:
     return conform_fact_loan_period(tape, *formats)
 
 
+def keyed_facts(fact: DataFrame) -> DataFrame:
+    """Facts with the key ``_loan``; those without a loan id are spread over 1,024 keys that no loan has."""
+    salt = F.pmod(F.xxhash64("CutoffDate", "CurrentBalance", "ArrearsBalance"), F.lit(1024)).cast("string")
+    return fact.withColumn("_loan", F.coalesce(F.col("LoanID"), F.concat(F.lit("no loan id "), salt)))
+
+
+def attributes(dim: DataFrame, columns: list[str]) -> DataFrame:
+    """Loan attributes by the same key."""
+    return dim.filter(F.col("LoanID").isNotNull()).select("DealID", F.col("LoanID").alias("_loan"), *columns)
+
+
 def star_join(fact: DataFrame, dim: DataFrame, columns: list[str]) -> DataFrame:
     """Facts with the given loan attributes; facts without a loan keep NULL attributes.
 
     A missing loan id matches nothing, so such facts get a spread-out join key: however many
     there are, they do not meet in one task.  A hot loan is split by AQE.
     """
-    salt = F.pmod(F.xxhash64("CutoffDate", "CurrentBalance", "ArrearsBalance"), F.lit(1024)).cast("string")
-    fact_key = F.coalesce(F.col("LoanID"), F.concat(F.lit("no loan id "), salt))
-    right = dim.filter(F.col("LoanID").isNotNull()).select("DealID", F.col("LoanID").alias("_loan"), *columns)
-    return fact.withColumn("_loan", fact_key).join(right, ["DealID", "_loan"], "left").drop("_loan")
+    return keyed_facts(fact).join(attributes(dim, columns), ["DealID", "_loan"], "left").drop("_loan")
 
 
 def dim_deal(spark) -> DataFrame:

@@ -6,11 +6,12 @@ from pyspark.sql import functions as F
 
 from mortar.functions.averages import wavg_strict as strict_average
 from mortar.functions.averages import wavg_total as total_average
-from mortar.operators import marts, measures, prep, stress
+from mortar.operators import cube, marts, measures, prep, stress
 from mortar.plans.frames import Frames, present
-from mortar.plans.registry import register
+from mortar.plans.registry import SQL, register
 from mortar.plans.sqltext import EXITS, FACT, LOANS, REFS, STAR, TAPE, d, n, query, r, ratio, values, wavg, wavg_strict
-from mortar.sources import seeds
+from mortar.session import work_folder
+from mortar.sources import seeds, stored_star
 
 GROUP = ["DealID", "CutoffDate"]
 G = "DealID, CutoffDate"
@@ -74,6 +75,15 @@ for _name, _column in (("region", "Region"), ("occupancy", "OccupancyType"), ("r
             TAPE, STAR,
         ),
     )
+
+
+def _stored(x: Frames, columns: list[str]):
+    path = work_folder(x.spark, "star")
+    stored_star.write_star(x.fact(), x.dim(), path, 8)
+    return stored_star.stored_join(x.spark, path, columns)
+
+
+register("strat_region_stored", lambda x: present(marts.strat_label(_stored(x, ["Region"]), "Region")), SQL["strat_region"])
 SEASONING = """CASE WHEN Seasoning >= 120 THEN '10yr+' WHEN Seasoning >= 60 THEN '5-10yr' WHEN Seasoning >= 36 THEN '3-5yr'
   WHEN Seasoning >= 12 THEN '1-3yr' WHEN Seasoning IS NULL THEN 'Unknown' ELSE '<1yr' END"""
 register(
@@ -112,6 +122,57 @@ register(
         TAPE, STAR,
     ),
 )
+_EVERY = f"""{COUNT}, {WA}, {IN_ARREARS}, {ARREARS}, {r(ratio('SUM(ArrearsBalance)', 'SUM(CurrentBalance)'))} AS ArrearsRate,
+ {r('avg(Seasoning)')} AS Avg_Seasoning_Months"""
+_PLACES = {
+    "LTV": n("""CASE WHEN CurrentLTV >= 1 THEN 6 WHEN CurrentLTV >= 0.9 THEN 5 WHEN CurrentLTV >= 0.8 THEN 4
+  WHEN CurrentLTV >= 0.7 THEN 3 WHEN CurrentLTV >= 0.6 THEN 2 WHEN CurrentLTV IS NULL THEN 99 ELSE 1 END"""),
+    "Delinquency": n("""CASE WHEN AccountStatus = 'Redeemed' THEN 0 WHEN COALESCE(MonthsInArrears, 0) = 0 THEN 1
+  WHEN MonthsInArrears >= 3 THEN 5 WHEN MonthsInArrears >= 2 THEN 4 WHEN MonthsInArrears >= 1 THEN 3 ELSE 2 END"""),
+    "Seasoning": n("""CASE WHEN Seasoning >= 120 THEN 5 WHEN Seasoning >= 60 THEN 4 WHEN Seasoning >= 36 THEN 3
+  WHEN Seasoning >= 12 THEN 2 WHEN Seasoning IS NULL THEN 99 ELSE 1 END"""),
+}
+
+
+def _cells(x: Frames):
+    return cube.cells(x.star(*marts.STAR_COLUMNS), sketch=False)
+
+
+register(
+    "strat_every_column",
+    lambda x: present(cube.strats(_cells(x))),
+    query(
+        " UNION ALL ".join(
+            f"SELECT {G}, '{name}' AS Dimension, Band, Band_Order, {_EVERY} FROM (SELECT *, {expr} AS Band,"
+            f" {_PLACES.get(name, 'CAST(NULL AS BIGINT)')} AS Band_Order FROM star) GROUP BY {G}, Band, Band_Order"
+            for name, expr in _STRATS.items()
+        ),
+        TAPE, STAR,
+    ),
+)
+
+
+def _from_stored_cube(x: Frames):
+    """A slice answered from a stored cube whose deals were stored one after the other."""
+    path, whole = work_folder(x.spark, "cube"), _cells(x)
+    for test in (F.col("DealID") == "AVON2", ~F.col("DealID").eqNullSafe(F.lit("AVON2"))):
+        whole.filter(test).write.mode("append").parquet(path)
+    stored = x.spark.read.schema(whole.schema).parquet(path)
+    slice_ = F.col("Seasoning").isin("3-5yr", "5-10yr") & (F.col("LTV") != ">100%")
+    return cube.measure(stored, ["CutoffDate", "Region"], slice_)
+
+
+register(
+    "measure_from_cube",
+    lambda x: present(_from_stored_cube(x)),
+    query(
+        f"SELECT CutoffDate, Area AS Region, count(*) AS LoanCount, {d('SUM(CurrentBalance)')} AS Balance, {WA}, {IN_ARREARS},"
+        f" {ARREARS}, {r(ratio('SUM(ArrearsBalance)', 'SUM(CurrentBalance)'))} AS ArrearsRate,"
+        f" {r('avg(Seasoning)')} AS Avg_Seasoning_Months FROM (SELECT *, COALESCE(Region, 'Unknown') AS Area FROM star)"
+        " WHERE Seasoning >= 36 AND Seasoning < 120 AND (CurrentLTV IS NULL OR CurrentLTV < 1) GROUP BY CutoffDate, Area",
+        TAPE, STAR,
+    ),
+)
 register(
     "portfolio_insights",
     lambda x: present(marts.portfolio_insights(x.star(*marts.STAR_COLUMNS))),
