@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-import csv
 import re
 from collections.abc import Iterable, Sequence
-from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
@@ -52,60 +50,66 @@ def clean_header(name: str) -> str:
 FILE, FIRST, MALFORMED = "TapeFile", "FirstRow", "Malformed"
 
 
-def _heads(spark: SparkSession, paths: Sequence[str], pattern: str | None) -> dict[str, list[list[str]]]:
-    """Header and first data row of every tape file; a folder holds the tapes of a deal, so these are few."""
-    reader = spark.read.option("pathGlobFilter", pattern) if pattern else spark.read
-    lines = reader.text(list(paths)).select(
-        F.col("_metadata.file_path").alias("path"),
-        F.col("_metadata.file_block_start").alias("at"),
-        F.monotonically_increasing_id().alias("n"),
-        "value",
-    )
-    order = Window.partitionBy("path").orderBy("n")
-    first = lines.filter("at = 0").withColumn("nth", F.row_number().over(order)).filter("nth <= 2")
-    found: dict[str, list[list[str]]] = {}
-    for r in first.orderBy("path", "nth").collect():
-        found.setdefault(r["path"], []).append(next(csv.reader([r["value"]]), []))
-    return found
+#: a cell of a delimited line that begins with a comma: quoted, with doubled quotes inside, or plain
+_CELL = ',("(?:[^"]|"")*"|[^,]*)'
+
+
+def _cells(line: Column) -> Column:
+    """Cells of a line of text; an empty one is NULL."""
+    inner = lambda c: F.replace(F.substring(c, F.lit(2), F.length(c) - 2), F.lit('""'), F.lit('"'))
+    plain = lambda c: F.when(F.startswith(c, F.lit('"')), inner(c)).otherwise(c)
+    quoted = F.transform(F.regexp_extract_all(F.concat(F.lit(","), line), F.lit(_CELL), F.lit(1)), lambda c: F.nullif(plain(c), F.lit("")))
+    return F.when(line.contains('"'), quoted).otherwise(F.transform(F.split(line, ","), lambda c: F.nullif(c, F.lit(""))))
+
 
+def _clean(name: Column) -> Column:
+    """As :func:`clean_header`, for a column."""
+    text = F.trim(F.coalesce(name, F.lit("")))
+    field, other = F.regexp_extract(text, r"^(AR\d+)", 1), F.regexp_replace(text, r"[^A-Za-z0-9_]", "_")
+    return F.when(field != "", field).when(other.rlike("^[0-9]"), F.concat(F.lit("_"), other)).otherwise(other)
 
-def _names(header: Sequence[str]) -> list[str]:
-    """Cleaned header names; a repeated one gets its place, so that the first of them keeps the name."""
-    names = [clean_header(h) for h in header]
-    return [n if n not in names[:i] else f"_{i}_{n}" for i, n in enumerate(names)]
+
+def _heads(lines: DataFrame) -> DataFrame:
+    """Per file: its header line, the cleaned names in it, and its first data line."""
+    order = Window.partitionBy("path").orderBy("n")
+    at_head = lines.filter("at = 0").withColumn("n", F.monotonically_increasing_id())
+    two = at_head.withColumn("nth", F.row_number().over(order)).filter("nth <= 2")  # cut to two a file before the shuffle
+    heads = two.groupBy("path").agg(
+        F.max(F.when(F.col("nth") == 1, F.col("value"))).alias("header"), F.max(F.when(F.col("nth") == 2, F.col("value"))).alias("first")
+    )
+    return heads.withColumn("names", F.transform(_cells(F.regexp_replace("header", "^\ufeff", "")), _clean))
 
 
 def read_tape(spark: SparkSession, paths: str | Sequence[str], pattern: str | None = None) -> DataFrame:
     """Delimited tape files as text columns, found by header name whatever their order in a file.
 
-    Adds ``TapeFile``, ``FirstRow`` and ``Malformed``: a row with too few or too many cells is kept with its text there.
-    A column that a file lacks is NULL in its rows.
+    The headers are a table by file, joined to the lines; each line is cut against its own file's header.  So the plan is
+    the same for any number of files and layouts, and only the names of all columns come to the driver.  Adds
+    ``TapeFile``, ``FirstRow`` and ``Malformed``: a row with too few or too many cells is kept with its text there.  A
+    column that a file lacks is NULL in its rows; of a name that a header repeats, the first counts and the others are
+    left out.  Lines equal to their file's header are headers; blank lines are skipped.
     """
-    heads = _heads(spark, [paths] if isinstance(paths, str) else paths, pattern)
-    layouts: dict[tuple[str, ...], list[str]] = {}
-    for path, rows in heads.items():
-        layouts.setdefault(tuple(_names(rows[0])), []).append(path)
-    if not layouts:
+    reader = spark.read.option("pathGlobFilter", pattern) if pattern else spark.read
+    lines = reader.text([paths] if isinstance(paths, str) else list(paths)).select(
+        F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("at"), "value"
+    )
+    lines = lines.filter(F.trim("value") != "")
+    heads = _heads(lines)
+    names = [r[0] for r in heads.select(F.explode("names")).distinct().orderBy("col").collect() if r[0]]
+    if not names:
         raise ValueError("no tape file")
-    parts = []
-    for names, files in layouts.items():
-        schema = T.StructType([T.StructField(n, T.StringType()) for n in (*names, MALFORMED)])
-        rows = (
-            spark.read.schema(schema).option("header", True).option("mode", "PERMISSIVE")
-            .option("columnNameOfCorruptRecord", MALFORMED).csv(files)
-            .withColumn(FILE, F.col("_metadata.file_path"))
-        )
-        # one row a file: its first data row, told by its cells
-        known = [
-            (path, *[c or None for c in (heads[path][1] + [""] * len(names))[: len(names)]]) for path in files if len(heads[path]) > 1
-        ]
-        columns = [f"_{i}" for i in range(len(names))]
-        first = spark.createDataFrame(known, ", ".join(f"{c} string" for c in ("_file", *columns)))
-        same = reduce(lambda x, y: x & y, [F.col(n).eqNullSafe(F.col(c)) for n, c in zip(names, columns)], F.col(FILE) == F.col("_file"))
-        rows = rows.join(F.broadcast(first), same, "left").withColumn(FIRST, F.col("_file").isNotNull())
-        parts.append(rows.select(*names, MALFORMED, FILE, FIRST))
-    tape = reduce(lambda x, y: x.unionByName(y, allowMissingColumns=True), parts)
-    return tape.withColumn(FILE, F.element_at(F.split(FILE, "/"), -1))
+    places = F.array(*[F.array_position("names", F.lit(n)).cast("int") for n in names])
+    heads = heads.select(F.col("path").alias("_path"), "header", "first", F.size("names").alias("width"), places.alias("places"))
+    rows = lines.join(heads, F.col("path") == F.col("_path")).filter(F.col("value") != F.col("header"))
+    rows = rows.withColumn("cells", _cells(F.col("value")))
+    # places count from 1; 0 stands for a name that the header lacks
+    value = lambda i: F.when(F.col("places")[i] > 0, F.get("cells", F.col("places")[i] - 1))
+    return rows.select(
+        *[value(i).alias(n) for i, n in enumerate(names)],
+        F.when(F.size("cells") != F.col("width"), F.col("value")).alias(MALFORMED),
+        F.element_at(F.split("path", "/"), -1).alias(FILE),
+        F.col("value").eqNullSafe(F.col("first")).alias(FIRST),
+    )
 
 
 def malformed_rows(raw: DataFrame) -> DataFrame:
