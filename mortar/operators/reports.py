@@ -25,11 +25,12 @@ BALANCE = [
     r"Outstanding Current Balance of the Portfolio[^\d]*([\d,]+\.?\d*)",
 ]
 LOANS = [r"Number of.*Mortgage Loans[^\d]*([\d,]+)"]
-# these are found in any case: they are written, and applied to the text, in lower case
-LTV = [r"weighted average loan to value[^\d]*([\d.]+)%?", r"weighted average current loan to value[^\d]*([\d.]+)%?"]
-CPR_YEAR = [r"annualised cpr[^\d]*([\d.]+)%?"]
-CPR_MONTH = [r"current cpr\s+([\d.]+)%?", r"constant principal pre-?payment rate[^\d]*([\d.]+)%?"]
-ANY_DATE = r"(\d{1,2})[-/](jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)[-/](\d{4})"
+# fixed values: these are found in any case
+LTV = [r"Weighted Average Loan to Value[^\d]*([\d.]+)%?", r"Weighted Average Current Loan to Value[^\d]*([\d.]+)%?"]
+CPR_YEAR = [r"Annualised CPR[^\d]*([\d.]+)%?"]
+CPR_MONTH = [r"Current CPR\s+([\d.]+)%?", r"Constant Principal Pre-?payment Rate[^\d]*([\d.]+)%?"]
+ANY_DATE = r"(\d{1,2})[-/](Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[-/](\d{4})"
+ANY_CASE = "(?i)"
 ARREARS_SIX = r">\s*6\.?\d*\s*Months in Arrears[^\d]*([\d,]+\.?\d*)[^\d]*([\d,]+)[^\d]*([\d.]+)%?"
 ARREARS_THREE = r">=\s*3\s+(\d+)\s+([\d.]+)%?\s+([\d,.]+)\s+([\d.]+)%?"
 ARREARS_ROWS = r"([345]\.?\d*|>\s*6).*Months in Arrears[^\d]*([\d,]+\.?\d*)[^\d]*([\d,]+)[^\d]*([\d.]+)%?"
@@ -96,7 +97,7 @@ def _date_columns(page: PageColumns) -> None:
     text = F.col("text")
     named = text.contains("Reporting Period End Date")
     page.raw["named"] = F.when(named, F.regexp_extract(text, PERIOD_END, 1))
-    page.raw["any_date"] = F.regexp_extract("low", ANY_DATE, 0)
+    page.raw["any_date"] = F.regexp_extract(text, ANY_CASE + ANY_DATE, 0)
     written = [F.try_to_date(F.nullif("named", F.lit("")), f) for f in ("d-MMM-yyyy", "d/MMM/yyyy", "d-MMMM-yyyy")]
     parts = F.split("any_date", "[-/]")
     day, month, year = [F.get(parts, F.lit(i)) for i in range(3)]
@@ -113,6 +114,9 @@ def _candidates() -> dict[str, list[Column]]:
     def number(where: Column, phrase: str, pattern: str, group: int = 1) -> Column:
         return F.when(where.contains(phrase), parse_number(F.regexp_extract(where, pattern, group)))
 
+    def any_case(phrase: str, pattern: str) -> Column:
+        return F.when(low.contains(phrase.lower()), parse_number(F.regexp_extract(text, ANY_CASE + pattern, 1)))
+
     late = "Months in Arrears"
     rows = F.regexp_extract_all(text, F.lit(ARREARS_ROWS), F.lit(4))
     total = F.aggregate(
@@ -124,12 +128,12 @@ def _candidates() -> dict[str, list[Column]]:
             number(text, "Outstanding Current Balance of the Portfolio", BALANCE[1]),
         ],
         "WA_LTV": [
-            number(low, "weighted average loan to value", LTV[0]),
-            number(low, "weighted average current loan to value", LTV[1]),
+            any_case("Weighted Average Loan to Value", LTV[0]),
+            any_case("Weighted Average Current Loan to Value", LTV[1]),
         ],
         "LoanCount": [number(text, "Mortgage Loans", LOANS[0])],
-        "CPR_1m": [number(low, "current cpr", CPR_MONTH[0]), number(low, "constant principal pre", CPR_MONTH[1])],
-        "CPR_12m": [number(low, "annualised cpr", CPR_YEAR[0])],
+        "CPR_1m": [any_case("Current CPR", CPR_MONTH[0]), any_case("Constant Principal Pre", CPR_MONTH[1])],
+        "CPR_12m": [any_case("Annualised CPR", CPR_YEAR[0])],
         "Arrears_90Plus_Pct": [
             number(text, late, ARREARS_SIX, 3),
             number(text, "Current Months in Arrears", ARREARS_THREE, 4),

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from types import SimpleNamespace
+
 from pyspark.sql import functions as F
 
 from mortar.operators import controls, marts, reports
@@ -18,7 +20,26 @@ CHOSEN = (
     " AND file_name NOT LIKE '%DBRS%' AND lower(file_name) NOT LIKE '%rating%')"
 )
 
-
+# fixed values: the layouts of the two report families, written out for the check
+WRITTEN = SimpleNamespace(
+    BALANCE=[
+        r"Current Balance of Mortgage Loans[^\d]*([\d,]+\.?\d*)",
+        r"Outstanding Current Balance of the Portfolio[^\d]*([\d,]+\.?\d*)",
+    ],
+    LOANS=[r"Number of.*Mortgage Loans[^\d]*([\d,]+)"],
+    LTV=[r"Weighted Average Loan to Value[^\d]*([\d.]+)%?", r"Weighted Average Current Loan to Value[^\d]*([\d.]+)%?"],
+    CPR_YEAR=[r"Annualised CPR[^\d]*([\d.]+)%?"],
+    CPR_MONTH=[r"Current CPR\s+([\d.]+)%?", r"Constant Principal Pre-?payment Rate[^\d]*([\d.]+)%?"],
+    ANY_DATE=r"(\d{1,2})[-/](Jan|Feb|Mar|Apr|May|Jun|Jul|Aug|Sep|Oct|Nov|Dec)[-/](\d{4})",
+    ARREARS_SIX=r">\s*6\.?\d*\s*Months in Arrears[^\d]*([\d,]+\.?\d*)[^\d]*([\d,]+)[^\d]*([\d.]+)%?",
+    ARREARS_THREE=r">=\s*3\s+(\d+)\s+([\d.]+)%?\s+([\d,.]+)\s+([\d.]+)%?",
+    ARREARS_ROWS=r"([345]\.?\d*|>\s*6).*Months in Arrears[^\d]*([\d,]+\.?\d*)[^\d]*([\d,]+)[^\d]*([\d.]+)%?",
+    PERIOD_END=r"Reporting Period End Date[:\s]+(\d{1,2}[-/]\w+[-/]\d{4})",
+    NAME_STAMP=r"(\d{4})(\d{2})(\d{2})",
+    NAME_MONTH=r"(jan|feb|mar|apr|may|jun|jul|aug|sep|oct|nov|dec)\s*(\d{4})",
+    NOTE_NUMBERS=r"([\d,]{3,}(?:,\d{3})*\.?\d*)",
+    ROW_NUMBERS=r"([\d,]+\.?\d*)",
+)
 ANY_CASE = "(?i)"
 
 
@@ -41,33 +62,33 @@ def _month(text: str) -> str:
     return f"NULLIF(list_position({_MONTHS}, lower({text})), 0)"
 
 
-_YEAR = f"CAST({_found('lower(file_name)', reports.NAME_MONTH, 2)} AS INT)"
-_MON = f"CAST({_month(_found('lower(file_name)', reports.NAME_MONTH, 1))} AS INT)"
+_YEAR = f"CAST({_found('lower(file_name)', WRITTEN.NAME_MONTH, 2)} AS INT)"
+_MON = f"CAST({_month(_found('lower(file_name)', WRITTEN.NAME_MONTH, 1))} AS INT)"
 REPORT_DATE = (
-    f"CASE WHEN regexp_matches(file_name, {_q(reports.NAME_STAMP)}) THEN TRY_CAST("
-    + " || '-' || ".join(_found("file_name", reports.NAME_STAMP, g) for g in (1, 2, 3))
+    f"CASE WHEN regexp_matches(file_name, {_q(WRITTEN.NAME_STAMP)}) THEN TRY_CAST("
+    + " || '-' || ".join(_found("file_name", WRITTEN.NAME_STAMP, g) for g in (1, 2, 3))
     + f" AS DATE) WHEN {_MON} = 2 THEN make_date({_YEAR}, 2, 28) ELSE last_day(make_date({_YEAR}, {_MON}, 1)) END"
 )
-_WRITTEN = f"CAST(try_strptime({_found('text', reports.PERIOD_END, 1)}, ['%d-%b-%Y', '%d/%b/%Y', '%d-%B-%Y']) AS DATE)"
+_WRITTEN = f"CAST(try_strptime({_found('text', WRITTEN.PERIOD_END, 1)}, ['%d-%b-%Y', '%d/%b/%Y', '%d-%B-%Y']) AS DATE)"
 _ANY = (
-    f"TRY_CAST({_found('text', ANY_CASE + reports.ANY_DATE, 3)} || '-' || lpad(CAST({_month(_found('text', ANY_CASE + reports.ANY_DATE, 2))} AS VARCHAR), 2, '0')"
-    f" || '-' || lpad({_found('text', ANY_CASE + reports.ANY_DATE, 1)}, 2, '0') AS DATE)"
+    f"TRY_CAST({_found('text', ANY_CASE + WRITTEN.ANY_DATE, 3)} || '-' || lpad(CAST({_month(_found('text', ANY_CASE + WRITTEN.ANY_DATE, 2))} AS VARCHAR), 2, '0')"
+    f" || '-' || lpad({_found('text', ANY_CASE + WRITTEN.ANY_DATE, 1)}, 2, '0') AS DATE)"
 )
 DATES = f"""dates AS (SELECT deal_id, file_name, {REPORT_DATE} AS ReportDate, COALESCE(found, {REPORT_DATE}) AS CutoffDate FROM
  (SELECT deal_id, file_name, arg_min(hit, page_no) FILTER (WHERE hit IS NOT NULL) AS found FROM
   (SELECT deal_id, file_name, page_no, COALESCE({_WRITTEN}, {_ANY}) AS hit FROM chosen)
   GROUP BY deal_id, file_name))"""
 
-_ROWS = f"regexp_extract_all(text, {_q(reports.ARREARS_ROWS)}, 4)"
+_ROWS = f"regexp_extract_all(text, {_q(WRITTEN.ARREARS_ROWS)}, 4)"
 _CANDIDATES = {
-    "PoolBalance": [_num(_found("text", p, 1)) for p in reports.BALANCE],
-    "WA_LTV": [_num(_found("text", ANY_CASE + p, 1)) for p in reports.LTV],
-    "LoanCount": [_num(_found("text", p, 1)) for p in reports.LOANS],
-    "CPR_1m": [_num(_found("text", ANY_CASE + p, 1)) for p in reports.CPR_MONTH],
-    "CPR_12m": [_num(_found("text", ANY_CASE + p, 1)) for p in reports.CPR_YEAR],
+    "PoolBalance": [_num(_found("text", p, 1)) for p in WRITTEN.BALANCE],
+    "WA_LTV": [_num(_found("text", ANY_CASE + p, 1)) for p in WRITTEN.LTV],
+    "LoanCount": [_num(_found("text", p, 1)) for p in WRITTEN.LOANS],
+    "CPR_1m": [_num(_found("text", ANY_CASE + p, 1)) for p in WRITTEN.CPR_MONTH],
+    "CPR_12m": [_num(_found("text", ANY_CASE + p, 1)) for p in WRITTEN.CPR_YEAR],
     "Arrears_90Plus_Pct": [
-        _num(_found("text", reports.ARREARS_SIX, 3)),
-        f"CASE WHEN contains(text, 'Current Months in Arrears') THEN {_num(_found('text', reports.ARREARS_THREE, 4))} END",
+        _num(_found("text", WRITTEN.ARREARS_SIX, 3)),
+        f"CASE WHEN contains(text, 'Current Months in Arrears') THEN {_num(_found('text', WRITTEN.ARREARS_THREE, 4))} END",
         f"CASE WHEN len({_ROWS}) > 0 THEN list_sum(list_transform({_ROWS}, lambda t: COALESCE(TRY_CAST(t AS DOUBLE), 0))) END",
     ],
 }
@@ -86,8 +107,8 @@ METRICS = (
     )
     + " FROM flagged GROUP BY deal_id, file_name)"
 )
-_LARGE = f"list_filter(list_transform(regexp_extract_all(line, {_q(reports.NOTE_NUMBERS)}, 1), lambda t: {_num('t')}), lambda v: v > 1000000)"
-_CELLS = f"list_transform(regexp_extract_all(line, {_q(reports.ROW_NUMBERS)}, 1), lambda t: {_num('t')})"
+_LARGE = f"list_filter(list_transform(regexp_extract_all(line, {_q(WRITTEN.NOTE_NUMBERS)}, 1), lambda t: {_num('t')}), lambda v: v > 1000000)"
+_CELLS = f"list_transform(regexp_extract_all(line, {_q(WRITTEN.ROW_NUMBERS)}, 1), lambda t: {_num('t')})"
 NOTE_ROWS = f"""note_lines AS (SELECT deal_id, file_name, page_no, text, unnest(string_split(text, chr(10))) AS line,
  generate_subscripts(string_split(text, chr(10)), 1) AS line_no FROM chosen),
 isin_rows AS (SELECT deal_id, file_name, page_no, 1 AS layout, line_no, COALESCE({_LARGE}[2], {_LARGE}[1]) AS value, NULL::DOUBLE AS factor

@@ -104,7 +104,7 @@ def shown(plain: dict, decoded: list) -> str:
 
 REFS = ",\n".join(values(f"ref_{name}", "code, label", rows.items()) for name, rows in seeds.REF_TABLES.items())
 AREAS = values(
-    "areas", "area, region_code", [(a, region) for region, areas in seeds.POSTCODE_AREAS.items() for a in areas.split()]
+    "areas", "area, region_code", seeds.POSTCODE_AREAS
 )
 TAPE = sample_tape.loan_tape_sql()
 NOTES = sample_tape.note_tape_sql()

@@ -107,21 +107,31 @@ REF_FIELDS = {
     "valuation_type": "AR144",
 }
 
-# fixed values: postcode areas per region
-POSTCODE_AREAS = {
-    "UKC": "DH DL NE SR TS",
-    "UKD": "BB BL CA CH CW FY L LA M OL PR SK WA WN",
-    "UKE": "BD DN HD HG HU HX LS S WF YO",
-    "UKF": "DE LE LN NG NN",
-    "UKG": "B CV DY HR ST TF WR WS WV",
-    "UKH": "AL CB CM CO IP LU NR PE SG SS HP",
-    "UKI": "E EC N NW SE SW W WC BR CR DA EN HA IG KT RM SM TW UB WD",
-    "UKJ": "BN CT GU ME MK OX PO RG RH SL SO TN",
-    "UKK": "BA BH BS DT EX GL PL SN SP TA TQ TR",
-    "UKL": "CF LD LL NP SA SY",
-    "UKM": "AB DD DG EH FK G HS IV KA KW KY ML PA PH TD ZE",
-    "UKN": "BT",
-}
+# fixed values: postcode area and region
+POSTCODE_AREAS = [
+    ("DH", "UKC"), ("DL", "UKC"), ("NE", "UKC"), ("SR", "UKC"), ("TS", "UKC"),
+    ("BB", "UKD"), ("BL", "UKD"), ("CA", "UKD"), ("CH", "UKD"), ("CW", "UKD"), ("FY", "UKD"), ("L", "UKD"),
+    ("LA", "UKD"), ("M", "UKD"), ("OL", "UKD"), ("PR", "UKD"), ("SK", "UKD"), ("WA", "UKD"), ("WN", "UKD"),
+    ("BD", "UKE"), ("DN", "UKE"), ("HD", "UKE"), ("HG", "UKE"), ("HU", "UKE"), ("HX", "UKE"), ("LS", "UKE"),
+    ("S", "UKE"), ("WF", "UKE"), ("YO", "UKE"),
+    ("DE", "UKF"), ("LE", "UKF"), ("LN", "UKF"), ("NG", "UKF"), ("NN", "UKF"),
+    ("B", "UKG"), ("CV", "UKG"), ("DY", "UKG"), ("HR", "UKG"), ("ST", "UKG"), ("TF", "UKG"), ("WR", "UKG"),
+    ("WS", "UKG"), ("WV", "UKG"),
+    ("AL", "UKH"), ("CB", "UKH"), ("CM", "UKH"), ("CO", "UKH"), ("IP", "UKH"), ("LU", "UKH"), ("NR", "UKH"),
+    ("PE", "UKH"), ("SG", "UKH"), ("SS", "UKH"), ("HP", "UKH"),
+    ("E", "UKI"), ("EC", "UKI"), ("N", "UKI"), ("NW", "UKI"), ("SE", "UKI"), ("SW", "UKI"), ("W", "UKI"),
+    ("WC", "UKI"), ("BR", "UKI"), ("CR", "UKI"), ("DA", "UKI"), ("EN", "UKI"), ("HA", "UKI"), ("IG", "UKI"),
+    ("KT", "UKI"), ("RM", "UKI"), ("SM", "UKI"), ("TW", "UKI"), ("UB", "UKI"), ("WD", "UKI"),
+    ("BN", "UKJ"), ("CT", "UKJ"), ("GU", "UKJ"), ("ME", "UKJ"), ("MK", "UKJ"), ("OX", "UKJ"), ("PO", "UKJ"),
+    ("RG", "UKJ"), ("RH", "UKJ"), ("SL", "UKJ"), ("SO", "UKJ"), ("TN", "UKJ"),
+    ("BA", "UKK"), ("BH", "UKK"), ("BS", "UKK"), ("DT", "UKK"), ("EX", "UKK"), ("GL", "UKK"), ("PL", "UKK"),
+    ("SN", "UKK"), ("SP", "UKK"), ("TA", "UKK"), ("TQ", "UKK"), ("TR", "UKK"),
+    ("CF", "UKL"), ("LD", "UKL"), ("LL", "UKL"), ("NP", "UKL"), ("SA", "UKL"), ("SY", "UKL"),
+    ("AB", "UKM"), ("DD", "UKM"), ("DG", "UKM"), ("EH", "UKM"), ("FK", "UKM"), ("G", "UKM"), ("HS", "UKM"),
+    ("IV", "UKM"), ("KA", "UKM"), ("KW", "UKM"), ("KY", "UKM"), ("ML", "UKM"), ("PA", "UKM"), ("PH", "UKM"),
+    ("TD", "UKM"), ("ZE", "UKM"),
+    ("BT", "UKN"),
+]
 
 # fixed values: display labels of the monthly preparation path (wording differs from the lists above)
 PREP_LABELS: dict[str, dict[str, str]] = {
@@ -320,8 +330,7 @@ def _frame(spark: SparkSession, names: str, rows: list[tuple], types: list[pa.Da
 def ref_table(spark: SparkSession, name: str) -> DataFrame:
     """``(code, label)`` list by name; ``postcode_to_region`` gives ``(postcode_area, region_code)``."""
     if name == "postcode_to_region":
-        rows = [(area, region) for region, areas in POSTCODE_AREAS.items() for area in areas.split()]
-        return _frame(spark, "postcode_area region_code", rows)
+        return _frame(spark, "postcode_area region_code", POSTCODE_AREAS)
     return _frame(spark, "code label", list(REF_TABLES[name].items()))
 
 
