@@ -94,11 +94,14 @@ def arrears_migration_periods(fact: DataFrame) -> DataFrame:
     """Movement between arrears buckets from each loan's previous period.
 
     A loan is reduced to one row per cut-off before the window, which bounds the window's groups
-    by the number of cut-offs; rows without a loan id have no previous period.
+    by the number of cut-offs; rows without a loan id have no previous period.  Rows are dealt by loan
+    once: grouping and window both find theirs together.
     """
     newest = F.max(F.struct("MonthsInArrears", "CurrentBalance"))
     per_period = (
         fact.filter(F.col("LoanID").isNotNull())
+        .select("DealID", "LoanID", "CutoffDate", "MonthsInArrears", "CurrentBalance")
+        .repartition("LoanID", "DealID")
         .groupBy("DealID", "LoanID", "CutoffDate")
         .agg(newest.alias("x"))
         .select("DealID", "LoanID", "CutoffDate", "x.CurrentBalance", arrears_bucket(F.col("x.MonthsInArrears")).alias("ToBucket"))

@@ -124,9 +124,13 @@ def rwa_share(tranches: DataFrame) -> DataFrame:
 
 
 def rwa_movement(tranches: DataFrame) -> DataFrame:
-    """Change of RWA from one cut-off to the next of the same note (one row per note and cut-off)."""
+    """Change of RWA from one cut-off to the next of the same note (one row per note and cut-off).
+
+    Dealt by note once: grouping and window both find their rows together.
+    """
     window = Window.partitionBy("NoteID", "DealID").orderBy("CutoffDate")
-    per_cutoff = tranches.groupBy("DealID", "NoteID", "CutoffDate").agg(
+    rows = tranches.select("DealID", "NoteID", "CutoffDate", "CurrentBalance", "RWA").repartition("NoteID", "DealID")
+    per_cutoff = rows.groupBy("DealID", "NoteID", "CutoffDate").agg(
         F.sum("CurrentBalance").alias("CurrentBalance"), F.sum("RWA").alias("RWA")
     )
     return per_cutoff.withColumn("PreviousRWA", F.lag("RWA").over(window)).withColumn(
@@ -206,10 +210,6 @@ def credit_enhancement(notes: DataFrame) -> DataFrame:
     )
 
 
-def tranche_by_name(notes: DataFrame, name: str) -> DataFrame:
-    return notes.filter(F.col("TrancheID") == name)
-
-
 def structure_from_pool(pool: DataFrame) -> DataFrame:
     """Five template tranches for every pool, scaled by its balance.
 

@@ -159,15 +159,14 @@ _SPELLED = ["SW1A 2AA", "M15", "L1 8JQ", "EH3", "UKI", "ZZ9"]
 
 def _spelled(x: Frames):
     words = F.array(*[F.lit(w) for w in _SPELLED])
-    rows = x.tape().filter("AR3 IS NOT NULL")
-    at = F.pmod(F.col("AR3").cast("bigint"), F.lit(7)).cast("int")
-    return rows.withColumn("AR128", F.when(at < 6, F.get(words, at)).otherwise(F.col("AR128")))
+    at = F.pmod(F.coalesce(F.col("AR3").cast("bigint"), F.lit(6)), F.lit(7)).cast("int")
+    return x.tape().withColumn("AR128", F.when(at < 6, F.get(words, at)).otherwise(F.col("AR128")))
 
 
 _SPELLED_SQL = (
-    "spelled AS (SELECT DealID, CASE CAST(AR3 AS BIGINT) % 7 "
+    "spelled AS (SELECT DealID, CASE COALESCE(CAST(AR3 AS BIGINT), 6) % 7 "
     + " ".join(f"WHEN {i} THEN '{w}'" for i, w in enumerate(_SPELLED))
-    + " ELSE AR128 END AS AR128 FROM tape WHERE AR3 IS NOT NULL),\n"
+    + " ELSE AR128 END AS AR128 FROM tape),\n"
     "placed AS (SELECT s.DealID, s.AR128, COALESCE(a.region_code, s.AR128) AS RegionCode FROM spelled s"
     " LEFT JOIN areas a ON a.area = regexp_extract(upper(s.AR128), '^([A-Z]{1,2})', 1))"
 )
