@@ -65,9 +65,19 @@ def decode_number(c: Column, labels: dict[str, str]) -> Column:
     return F.coalesce(decode(c, labels), F.try_element_at(F.expr(f"map({pairs})"), number(c)))
 
 
+def without_noise(c: Column) -> Column:
+    """Report text of a figure without thousands commas, ``%``, the pound sign and ``GBP``."""
+    return F.translate(F.replace(F.trim(c), F.lit("GBP"), F.lit("")), ",%£", "")
+
+
+def figure(c: Column) -> Column:
+    """Plain text as a number.  It looks at its argument several times: give it a column, not what computes one."""
+    return _figure(c)
+
+
 def parse_number(c: Column) -> Column:
-    """A figure in report text: thousands commas, ``%``, the pound sign and ``GBP`` are noise.
+    """A figure in report text, noise taken off.
 
     Words for "none" (``N/A``, ``null``, ``-``, blank) are no numbers and give NULL.
     """
-    return _figure(F.translate(F.replace(F.trim(c), F.lit("GBP"), F.lit("")), ",%£", ""))
+    return _figure(without_noise(c))

@@ -12,7 +12,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, functions as F
 
 from mortar.functions.averages import divide, half_even
-from mortar.functions.casts import iso_date, parse_number
+from mortar.functions.casts import figure, iso_date, without_noise
 from mortar.functions.dates import month_number
 from mortar.operators.history import keep_first
 from mortar.operators.rwa import class_a_enhancement
@@ -50,12 +50,15 @@ HISTORY_COLUMNS = [
 
 
 def select_reports(pages: DataFrame, config: DataFrame) -> DataFrame:
-    """Pages of files that match the deal's name pattern and are no rating reports."""
+    """Pages of files that match the deal's name pattern and are no rating reports.
+
+    A pattern held in a column is compiled whenever it differs from the row before, not for every row.
+    """
     name = F.col("file_name")
     rating = name.contains("DBRS") | F.lower(name).contains("rating")
     return (
         pages.join(config.select("deal_id", "ir_pattern"), "deal_id")
-        .filter(F.rlike(name, F.col("ir_pattern")) & ~rating)
+        .filter((F.regexp_instr(name, F.col("ir_pattern")) > 0) & ~rating)
         .drop("ir_pattern")
     )
 
@@ -71,15 +74,16 @@ def date_from_name(name: Column) -> Column:
 
 
 class PageColumns:
-    """Columns taken from one page, in two steps so that no expression runs twice.
+    """Columns taken from one page, step by step so that no expression runs twice.
 
-    ``raw`` holds what the expressions find on a page, ``made`` what follows from it, ``file`` the
-    aggregates that turn pages into one row per file.  A cheap test for the phrase goes before
-    every regular expression.
+    ``raw`` holds what the expressions find on a page (``figures`` names the texts among them that are
+    read as numbers next), ``made`` what follows from it, ``file`` the aggregates that turn pages into one
+    row per file.  A cheap test for the phrase goes before every regular expression.
     """
 
     def __init__(self) -> None:
         self.raw: dict[str, Column] = {}
+        self.figures: set[str] = set()
         self.made: dict[str, Column] = {}
         self.file: dict[str, Column] = {}
 
@@ -89,6 +93,8 @@ class PageColumns:
 
     def per_file(self, pages: DataFrame) -> DataFrame:
         found = pages.withColumn("low", F.lower("text")).select(*FILE, "page_no", *[c.alias(n) for n, c in self.raw.items()])
+        for read in (without_noise, figure):  # both look at their column more than once
+            found = found.select(*[read(F.col(n)).alias(n) if n in self.figures else n for n in found.columns])
         made = found.select(*FILE, "page_no", *[c.alias(n) for n, c in self.made.items()])
         return made.groupBy(*FILE).agg(*[c.alias(n) for n, c in self.file.items()])
 
@@ -107,20 +113,24 @@ def _date_columns(page: PageColumns) -> None:
     page.file["found"] = page.first("date")
 
 
+def _numbers(texts: Column) -> Column:
+    return F.transform(F.transform(texts, without_noise), figure)
+
+
 def _candidates() -> dict[str, list[Column]]:
-    """Candidate values of each metric on a page, in the order they are tried."""
+    """Candidate values of each metric on a page, in the order they are tried; texts are read as numbers later."""
     text, low = F.col("text"), F.col("low")
 
     def number(where: Column, phrase: str, pattern: str, group: int = 1) -> Column:
-        return F.when(where.contains(phrase), parse_number(F.regexp_extract(where, pattern, group)))
+        return F.when(where.contains(phrase), F.regexp_extract(where, pattern, group))
 
     def any_case(phrase: str, pattern: str) -> Column:
-        return F.when(low.contains(phrase.lower()), parse_number(F.regexp_extract(text, ANY_CASE + pattern, 1)))
+        return F.when(low.contains(phrase.lower()), F.regexp_extract(text, ANY_CASE + pattern, 1))
 
     late = "Months in Arrears"
     rows = F.regexp_extract_all(text, F.lit(ARREARS_ROWS), F.lit(4))
     total = F.aggregate(
-        F.transform(rows, parse_number), F.lit(None).cast("double"), lambda a, v: F.coalesce(a, F.lit(0.0)) + F.coalesce(v, F.lit(0.0))
+        _numbers(rows), F.lit(None).cast("double"), lambda a, v: F.coalesce(a, F.lit(0.0)) + F.coalesce(v, F.lit(0.0))
     )
     return {
         "PoolBalance": [
@@ -146,6 +156,7 @@ def _metric_columns(page: PageColumns) -> None:
     for name, candidates in _candidates().items():
         tried = [f"{name}_{i}" for i in range(len(candidates))]
         page.raw.update(zip(tried, candidates))
+        page.figures.update(t for t in tried if t != "Arrears_90Plus_Pct_2")  # a sum already
         page.made[name] = F.coalesce(*[F.when(F.col(c) != 0, F.col(c)) for c in tried])
         page.made[f"{name}_zero"] = reduce(lambda a, b: a | b, [F.coalesce(F.col(c) == 0, F.lit(False)) for c in tried])
         page.file[name] = F.coalesce(page.first(name), F.when(F.max(f"{name}_zero"), F.lit(0.0)))
@@ -154,7 +165,7 @@ def _metric_columns(page: PageColumns) -> None:
 def _note_columns(page: PageColumns) -> None:
     text = F.col("text")
     lines = F.split(text, "\n")
-    figures = lambda line, p: F.transform(F.regexp_extract_all(line, F.lit(p), F.lit(1)), parse_number)
+    figures = lambda line, p: _numbers(F.regexp_extract_all(line, F.lit(p), F.lit(1)))
     table_page = text.contains("Principal") & text.contains("Ending Balance")
 
     def isin_row(line: Column) -> Column:
