@@ -1,15 +1,15 @@
 """Conform a deal's coded tape to the two-table star.
 
-What differs between deals is data (:class:`DealFormat`), not code.
+What differs between deals is data (:class:`DealFormat`, or a table of them), not code.
 """
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 from dataclasses import dataclass
 from decimal import Decimal
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from mortar.functions.casts import decode as decode_label
 from mortar.functions.casts import iso_date, money, ratio, whole
@@ -131,19 +131,23 @@ def decode_join(df: DataFrame, code: str, labels: DataFrame, label: str) -> Data
     return df.join(lookup, F.col(code) == F.col("_code"), "left").drop("_code")
 
 
-def _conform(tape: DataFrame, formats: Sequence[DealFormat], plain: dict, decoded: list) -> DataFrame:
-    """Project the tape to canonical columns, all deals in one pass.
+def _project(tape: DataFrame, typed: Callable[[str, str], Column], plain: dict, decoded: list) -> DataFrame:
+    """Project the tape to canonical columns, all deals in one pass; ``typed(field, kind)`` reads a field.
 
     The code lists are fixed and short, so labels come from literal maps: unlike joins they vanish
     from every plan that does not look at the label.
     """
-    columns = [_typed(field, kind, formats).alias(name) for name, (field, kind) in plain.items()]
+    columns = [typed(field, kind).alias(name) for name, (field, kind) in plain.items()]
     for name, field, ref in decoded:
-        code = _typed(field, "text", formats)
+        code = typed(field, "text")
         columns += [decode_label(code, REF_TABLES[ref]).alias(name), code.alias(f"{name}_code")]
     return tape.select("DealID", *columns)
 
 
+def _conform(tape: DataFrame, formats: Sequence[DealFormat], plain: dict, decoded: list) -> DataFrame:
+    return _project(tape, lambda field, kind: _typed(field, kind, formats), plain, decoded)
+
+
 def deal_rows(tape: DataFrame, formats: Sequence[DealFormat]) -> DataFrame:
     """Rows of the deals that have a format; rows without a loan id only where the deal keeps them."""
     tape = with_fields(tape, FIELDS)
@@ -174,6 +178,56 @@ def conform_fact_loan_period(tape: DataFrame, *formats: DealFormat) -> DataFrame
     return _conform(deal_rows(tape, formats), formats, FACT_PLAIN, FACT_DECODED)
 
 
+# ------------------------------------------------------------------ deal formats as rows
+
+#: fields in one word of the bitmap of absent fields
+_WORD = 32
+_FORMAT_COLUMNS = ["rate_factor", "quarter_dates", "keep_null_ids", *[f"absent_{w}" for w in range(-(-len(FIELDS) // _WORD))]]
+
+
+def format_table(spark: SparkSession, formats: Sequence[DealFormat]) -> DataFrame:
+    """Deal formats as rows: ``DealID``, factor, date style and a bitmap of the fields in ``FIELDS`` that are absent."""
+    schema = "DealID string, rate_factor decimal(18,9), quarter_dates boolean, keep_null_ids boolean"
+    words = range(-(-len(FIELDS) // _WORD))
+    rows = []
+    for f in formats:
+        mask = sum(1 << i for i, field in enumerate(FIELDS) if field in f.absent)
+        rows.append((f.deal_id, f.rate_factor, f.quarter_dates, f.keep_null_ids, *[mask >> _WORD * w & (1 << _WORD) - 1 for w in words]))
+    return spark.createDataFrame(rows, schema + "".join(f", absent_{w} bigint" for w in words))
+
+
+def _typed_by_row(field: str, kind: str) -> Column:
+    """A field read as its row's own format says."""
+    at = FIELDS.index(field)
+    c = F.when(F.col(f"_absent_{at // _WORD}").bitwiseAND(F.lit(1 << at % _WORD)) == 0, F.col(field))
+    if kind == "rate":
+        return (ratio(c) * F.col("_rate_factor")).cast("decimal(18,9)")
+    if kind == "origination":
+        return F.when(F.col("_quarter_dates"), quarter_end(c)).otherwise(iso_date(c))
+    return {"text": lambda x: x, "whole": whole, "money": money, "ratio": ratio, "date": iso_date}[kind](c)
+
+
+def _described(tape: DataFrame, formats: DataFrame) -> DataFrame:
+    """Tape rows with the format of their deal; deals without a format are left out, as in :func:`deal_rows`.
+
+    Formats are one row a deal.  Spark broadcasts them where their size allows; beyond it both sides meet by
+    deal, and AQE splits a large one.
+    """
+    own = formats.select("DealID", *[F.col(c).alias(f"_{c}") for c in _FORMAT_COLUMNS])
+    return with_fields(tape, FIELDS).join(own, "DealID").filter(F.col("_keep_null_ids") | F.col("AR3").isNotNull())
+
+
+def conform_dim_loan_by_table(tape: DataFrame, formats: DataFrame) -> DataFrame:
+    """:func:`conform_dim_loan` with formats from a table (:func:`format_table`): a deal is a row, the plan stays the same."""
+    rows = latest_per_loan(_described(tape, formats))
+    return _project(rows, _typed_by_row, DIM_PLAIN, DIM_DECODED)
+
+
+def conform_fact_loan_period_by_table(tape: DataFrame, formats: DataFrame) -> DataFrame:
+    """:func:`conform_fact_loan_period` with formats from a table."""
+    return _project(_described(tape, formats), _typed_by_row, FACT_PLAIN, FACT_DECODED)
+
+
 def region_from_postcode(df: DataFrame, field: str) -> DataFrame:
     """Region of a column holding postcodes or region codes: postcode area first, else the raw code."""
     spark = df.sparkSession

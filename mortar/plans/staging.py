@@ -219,7 +219,7 @@ for _fmt in cf.FORMATS:
 register(
     "conform_extended_dim",
     lambda x: present(
-        cf.conform_extended_dim(x.tape(), cf.AVON).unionByName(cf.conform_extended_dim(x.tape(), cf.BLETCHLEY))
+        cf.conform_extended_dim(x.tape(), *cf.FORMATS)
     ),
     query(
         " UNION ALL ".join(
@@ -234,16 +234,55 @@ register(
     ),
 )
 
-#: a further deal described as data: rates in basis points, no index, dates as written
-_FURTHER = cf.DealFormat("BLETCHLEY", Decimal("0.0001"), absent=frozenset({"AR108", "AR145", "AR36"}), keep_null_ids=True)
-register(
-    "conform_generic",
-    lambda x: present(cf.conform_fact_loan_period(x.tape(), _FURTHER)),
-    query(
-        f"SELECT {shown(cf.FACT_PLAIN, cf.FACT_DECODED)} FROM c", TAPE, REFS,
-        conformed("c", _FURTHER, cf.FACT_PLAIN, cf.FACT_DECODED, False),
-    ),
+#: a third deal described as a row: rates in basis points, origination by quarter, no index, no flag of bankruptcy
+_THIRD = cf.DealFormat(
+    "CASTLE", Decimal("0.0001"), quarter_dates=True, absent=frozenset({"AR108", "AR145", "AR36"}), keep_null_ids=True
 )
+_THREE = (*cf.FORMATS, _THIRD)
+
+
+def _three_deals(x: Frames):
+    """The tape with one pool of BLETCHLEY as a deal of its own, spelled in its own way."""
+    third = (F.col("DealID") == "BLETCHLEY") & (F.col("AR2") == "POOL2")
+    start = F.col("AR55").try_cast("date")
+    spelled = {
+        "DealID": F.lit("CASTLE"),
+        "AR55": F.concat(F.lit("Q"), F.quarter(start).cast("string"), F.lit("-"), F.year(start).cast("string")),
+        **{c: (F.col(c).try_cast("decimal(18,4)") * 10000).cast("string") for c in ("AR109", "AR110")},
+    }
+    return x.tape().withColumns({c: F.when(third, v).otherwise(F.col(c)) for c, v in spelled.items()})
+
+
+_SPELL = "CASE WHEN DealID = 'BLETCHLEY' AND AR2 = 'POOL2' THEN {} ELSE {} END AS {}"
+_THREE_SQL = (
+    "tape3 AS (SELECT * REPLACE ("
+    + ", ".join(
+        _SPELL.format(v, c, c)
+        for c, v in {
+            "DealID": "'CASTLE'",
+            "AR55": "'Q' || quarter(TRY_CAST(AR55 AS DATE)) || '-' || year(TRY_CAST(AR55 AS DATE))",
+            "AR109": "CAST(TRY_CAST(AR109 AS DECIMAL(18,4)) * 10000 AS VARCHAR)",
+            "AR110": "CAST(TRY_CAST(AR110 AS DECIMAL(18,4)) * 10000 AS VARCHAR)",
+        }.items()
+    )
+    + ") FROM tape)"
+)
+for _name, _build, _plain, _decoded, _latest in (
+    ("conform_generic", cf.conform_fact_loan_period_by_table, cf.FACT_PLAIN, cf.FACT_DECODED, False),
+    ("conform_generic_dim_loan", cf.conform_dim_loan_by_table, cf.DIM_PLAIN, cf.DIM_DECODED, True),
+):
+    register(
+        _name,
+        lambda x, build=_build: present(build(_three_deals(x), cf.format_table(x.spark, _THREE))),
+        query(
+            " UNION ALL ".join(f"SELECT {shown(_plain, _decoded)} FROM c{i}" for i in range(len(_THREE))),
+            TAPE, REFS, _THREE_SQL,
+            *[
+                conformed(f"c{i}", f, _plain, _decoded, _latest).replace("FROM tape ", "FROM tape3 ")
+                for i, f in enumerate(_THREE)
+            ],
+        ),
+    )
 
 
 def _cast_sql() -> str:
