@@ -1,8 +1,12 @@
 """Quality classifier from weak labels.
 
 Heuristic labellers vote good, bad or nothing on every document.  Expectation-maximisation over the counts of all vote
-patterns of all documents estimates each labeller's accuracy, without any given label; a pattern's posterior is its documents' soft label.  A linear scorer over hashed word shapes and pairs of shapes
-learns these labels and scores every whole text; a document is kept if its score is at least ``KEEP``.
+patterns of all documents estimates, without any given label, the share of good documents and how often each labeller votes
+what on good and on bad ones; a pattern's posterior is its documents' soft label.  A linear scorer over hashed word shapes and
+pairs of shapes learns these labels and scores every whole text; a document is kept if its score is at least ``KEEP``.
+
+A labeller that detects one kind of junk says something by its silence too; one that judges all texts says nothing on those
+too short for it.  First beliefs are worth ``PSEUDO`` documents, whatever the size of the table, so data outweigh them as it grows.
 
 Fit: vote patterns are counted over all documents (at most 3 ** labellers rows reach the driver).  The scorer is trained
 on ``SAMPLE`` documents at most, the least text hash of each of ``SAMPLE`` hash classes, so copies count once.
@@ -21,14 +25,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mortar.llm import bytescan, columns, worker
+from mortar.llm import bytescan, columns, scratch, worker
 
 SAMPLE, WIDTH, KEEP = 4096, 2048, 0.35
-#: Belief in a document on which no labeller votes.
-GOOD_SHARE = 0.7
-ROUNDS, STEPS, SHRINK = 100, 400, 1e-4
-#: Votes that the first accuracy of a labeller is worth, for each vote that it casts.
-BELIEF = 3
+#: First belief in the share of good documents, and the documents that each first belief is worth.
+GOOD_SHARE, PSEUDO = 0.7, 100
+#: No outcome is held rarer than this, so no labeller alone is beyond doubt.
+RAREST = 1e-4
+ROUNDS, STEPS, SHRINK = 500, 400, 1e-4
 GOOD, NONE, BAD = 1, 0, 2
 
 
@@ -137,8 +141,11 @@ LABELLERS = {
     "sentences": _judges("stop", "words", 0.02, 0.06, 20),
     "plain words": _judges("plain", "words", 0.65, 0.75, 20),
 }
-#: Accuracy that a labeller is given before the first round: those that know one kind of junk are rarely wrong about it.
-FIRST = np.array([0.95] * 6 + [0.75] * 2)
+#: Chances of (no vote, good, bad) on a good document and on a bad one.  A detector finds one kind of junk in five or so and is
+#: rarely wrong; a judge is right in three votes of four, and where it does not vote (chance 0) nothing is concluded.
+DETECTOR = [[0.995, 0, 0.005], [0.8, 0, 0.2]]
+JUDGE = [[0, 0.75, 0.25], [0, 0.25, 0.75]]
+FIRST = np.array([DETECTOR] * 6 + [JUDGE] * 2)
 
 
 def features(p: Profile, width: int = WIDTH) -> tuple[np.ndarray, np.ndarray]:
@@ -164,31 +171,45 @@ def pattern(votes: np.ndarray) -> np.ndarray:
     return (votes.astype(np.int64) * 3 ** np.arange(votes.shape[0])[:, None]).sum(axis=0)
 
 
-def accuracies(patterns: np.ndarray, counts: np.ndarray, first: np.ndarray = FIRST, rounds: int = ROUNDS):
-    """Expectation-maximisation: (prior odds as a share, accuracy of every labeller where it votes).
+@dataclass
+class Belief:
+    """Share of good documents and chances (labeller x good or bad document x no vote, good, bad)."""
+
+    share: float
+    chance: np.ndarray
+
+    def good(self, votes: np.ndarray) -> np.ndarray:
+        """P(good) of rows of votes."""
+        sure = np.log(np.maximum(self.chance, RAREST))
+        lean = sure[:, 0] - sure[:, 1]
+        odds = np.log(self.share / (1 - self.share)) + lean[np.arange(lean.shape[0]), votes].sum(axis=1)
+        return 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
+
+    def accuracy(self) -> np.ndarray:
+        """How often each labeller is right where it votes."""
+        weight = np.array([self.share, 1 - self.share])
+        right = (self.chance[:, [0, 1], [GOOD, BAD]] * weight).sum(axis=1)
+        return right / ((self.chance[:, :, GOOD] + self.chance[:, :, BAD]) * weight).sum(axis=1)
 
-    The share of good documents is not estimated but given, so that rare kinds of junk are not argued away by it.
-    The first accuracy of a labeller is worth ``BELIEF`` votes for each that it casts: without it the labellers that vote most explain
-    all others away, and rare kinds of junk are lost.
+
+def estimate(patterns: np.ndarray, counts: np.ndarray, first: np.ndarray = FIRST, rounds: int = ROUNDS) -> Belief:
+    """Expectation-maximisation over counted vote patterns, from the first chances and ``GOOD_SHARE``.
+
+    These count as ``PSEUDO`` documents.  A labeller whose first chance of no vote is 0 is not judged by its silence.
     """
-    votes = patterns[:, None] // 3 ** np.arange(first.size) % 3
-    accuracy, prior = first.copy(), GOOD_SHARE
+    votes = patterns[:, None] // 3 ** np.arange(first.shape[0]) % 3
+    outcome = np.stack([votes == k for k in (NONE, GOOD, BAD)], axis=2) & first.any(axis=1)  # pattern x labeller x vote
+    belief = Belief(GOOD_SHARE, first)
     for _ in range(rounds):
-        good = posterior(votes, prior, accuracy)
-        right = np.where(votes == GOOD, good[:, None], 0) + np.where(votes == BAD, 1 - good[:, None], 0)
-        voted = counts @ (votes != NONE)
-        before = accuracy
-        accuracy = np.clip((counts @ right + BELIEF * voted * first + first) / ((1 + BELIEF) * voted + 1), 0.5, 0.99)
-        if np.abs(accuracy - before).max() < 1e-6:
+        good = belief.good(votes)
+        weight = np.stack([good, 1 - good]) * counts
+        chance = np.einsum("cp,plk->lck", weight, outcome) + PSEUDO * first
+        chance /= chance.sum(axis=2, keepdims=True)
+        moved = np.abs(chance - belief.chance).max()
+        belief = Belief((weight[0].sum() + PSEUDO * GOOD_SHARE) / (counts.sum() + PSEUDO), chance)
+        if moved < 1e-6:
             break
-    return prior, accuracy
-
-
-def posterior(votes: np.ndarray, prior: float, accuracy: np.ndarray) -> np.ndarray:
-    """P(good) of rows of votes; a labeller that does not vote says nothing."""
-    sure = np.log(accuracy / (1 - accuracy))
-    odds = np.log(prior / (1 - prior)) + (votes == GOOD) @ sure - (votes == BAD) @ sure
-    return 1 / (1 + np.exp(-np.clip(odds, -50, 50)))
+    return belief
 
 
 def train(x: np.ndarray, label: np.ndarray, steps: int = STEPS, shrink: float = SHRINK) -> np.ndarray:
@@ -206,8 +227,7 @@ def train(x: np.ndarray, label: np.ndarray, steps: int = STEPS, shrink: float =
 
 @dataclass
 class Model:
-    prior: float
-    accuracy: np.ndarray
+    belief: Belief
     weights: np.ndarray
 
 
@@ -229,22 +249,15 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     """Model from texts alone; None if no text has a word."""
     columns.need(docs, "text")
     voted = _votes(docs)
-    # patterns and hash classes in one pass: both are bounded numbers of rows
-    found = (
-        voted.groupBy("pattern", F.pmod("h", F.lit(sample)).alias("c")).agg(F.count("*").alias("n"), F.min("h").alias("h"))
-        .groupBy("c").agg(F.collect_list(F.struct("pattern", "n")).alias("p"), F.min("h").alias("h"))
-    )
-    counted: dict[int, int] = {}
-    hashes = []
-    for r in found.toLocalIterator():
-        hashes.append((r["h"],))
-        for q in r["p"]:
-            counted[q["pattern"]] = counted.get(q["pattern"], 0) + q["n"]
+    # patterns and hash classes in one pass over the texts; stored, since both are then aggregated apart
+    found = scratch.stored(
+        voted.groupBy("pattern", F.pmod("h", F.lit(sample)).alias("c")).agg(F.count("*").alias("n"), F.min("h").alias("h")), "votes"
+    )
+    hashes = [(r["h"],) for r in found.groupBy("c").agg(F.min("h").alias("h")).collect()]
     if not hashes:
         return None
-    patterns = np.array(sorted(counted))
-    counts = np.array([counted[p] for p in patterns.tolist()], float)
-    prior, accuracy = accuracies(patterns, counts)
+    counted = found.groupBy("pattern").agg(F.sum("n").alias("n")).orderBy("pattern").collect()
+    belief = estimate(np.array([r["pattern"] for r in counted]), np.array([r["n"] for r in counted], float))
 
     chosen = docs.sparkSession.createDataFrame(hashes, "h long")  # ``sample`` rows at most
     texts = docs.select(F.xxhash64("text").alias("h"), "text").join(F.broadcast(chosen), "h").dropDuplicates(["h"])
@@ -259,7 +272,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE) -> Model | None:
     rows = texts.mapInArrow(vectors, "pattern long, x binary").collect()
     x = np.stack([np.frombuffer(r["x"], np.float32) for r in rows])
     votes = np.array([r["pattern"] for r in rows])[:, None] // 3 ** np.arange(len(LABELLERS)) % 3
-    return Model(prior, accuracy, train(x, posterior(votes, prior, accuracy)))
+    return Model(belief, train(x, belief.good(votes)))
 
 
 def score(docs: DataFrame, model: Model | None) -> tuple[DataFrame, dict[str, str]]:
@@ -282,7 +295,7 @@ def score(docs: DataFrame, model: Model | None) -> tuple[DataFrame, dict[str, st
                 total = np.bincount(text, weights=own.weights[bucket], minlength=offsets.size - 1)
                 value = 1 / (1 + np.exp(-np.clip(total / np.maximum(n, 1) + own.weights[-1], -50, 50)))
                 scores.append(np.where(n > 0, value, 0.0))
-                weak.append(np.where(n > 0, posterior(p.votes.T, own.prior, own.accuracy), 0.0))
+                weak.append(np.where(n > 0, own.belief.good(p.votes.T), 0.0))
             added = {names["score"]: pa.array(np.concatenate(scores)), names["weak_label"]: pa.array(np.concatenate(weak))}
             yield bytescan.with_columns(batch, **added)
 
