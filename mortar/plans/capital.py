@@ -166,7 +166,7 @@ register(
 )
 register(
     "rwa_movement",
-    lambda x: present(rwa.rwa_movement(_tranches(x)), RWA=2, PreviousRWA=2, RWAChange=2),
+    lambda x: present(rwa.rwa_movement(_tranches(x), x.parts()), RWA=2, PreviousRWA=2, RWAChange=2),
     query(
         f"SELECT DealID, NoteID, CutoffDate, {d('CurrentBalance')} AS CurrentBalance, {hd('RWA', 2)} AS RWA,"
         f" {hd('prev', 2)} AS PreviousRWA, {hd('RWA - prev', 2)} AS RWAChange FROM (SELECT *,"

@@ -171,7 +171,7 @@ for _months, _name in ((1, "arrears_migration"), (2, "arrears_migration_two_mont
     )
 register(
     "arrears_migration_periods",
-    lambda x: present(history.arrears_migration_periods(x.fact())),
+    lambda x: present(history.arrears_migration_periods(x.fact(), x.parts())),
     _migration_sql(
         f"SELECT * FROM (SELECT {G}, CurrentBalance, ToBucket, lag(ToBucket) OVER (PARTITION BY DealID, LoanID ORDER BY CutoffDate)"
         f" AS FromBucket FROM (SELECT {G}, LoanID, CurrentBalance, {prep_arrears('MonthsInArrears')} AS ToBucket FROM fact"
