@@ -104,7 +104,7 @@ _PLACED = ["DealID", "Attachment", "NoteID", "CutoffDate"]
 def _in_order(x: Frames):
     """The export written by deal, the most junior notes first, and read back with the place of every row."""
     path, rows = work_folder(x.spark, "export"), rwa.rwa_export(x.notes())
-    write_ordered(rows, path, ["DealID", F.col("Attachment").desc_nulls_last(), "NoteID", "CutoffDate"])
+    write_ordered(rows, path, ["DealID", F.col("Attachment").desc_nulls_last(), "NoteID", "CutoffDate"], ranges=x.parts())
     return read_ordered(x.spark, path, rows.schema, "Place")
 
 

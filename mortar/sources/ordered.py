@@ -14,10 +14,13 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 from mortar.sources.history_table import _files
 
 
-def write_ordered(df: DataFrame, path: str, order: Sequence[str | Column], kind: str = "parquet") -> None:
-    """Replace an export: numbered part files that follow each other in the order of the given columns."""
+def write_ordered(df: DataFrame, path: str, order: Sequence[str | Column], kind: str = "parquet", ranges: int | None = None) -> None:
+    """Replace an export: numbered part files that follow each other in the order of the given columns.
+
+    ``ranges`` is the number of parts; without it they are as many as the session's shuffle partitions, or fewer.
+    """
     columns = [F.col(c) if isinstance(c, str) else c for c in order]
-    rows = df.repartitionByRange(*columns).sortWithinPartitions(*columns)
+    rows = df.repartitionByRange(*([ranges] if ranges else []), *columns).sortWithinPartitions(*columns)
     rows.write.mode("overwrite").option("header", True).format(kind).save(path)
 
 
