@@ -496,6 +496,7 @@ register(
     "parse_number",
     lambda x: present(
         x.pages().select("deal_id", F.explode(F.split("text", r"\s+")).alias("word"))
+        .filter(casts.may_be_figure(F.col("word")))  # the others need no counting
         .groupBy("deal_id", "word").agg(F.count("*").alias("Words"))
         .select("deal_id", "word", "Words", casts.parse_number(F.col("word")).alias("Value"))
         .filter("Value IS NOT NULL"), Value=4,
